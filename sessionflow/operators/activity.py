@@ -1,0 +1,59 @@
+"""User activity as seen by each event: the parts the session rule is made of."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from sessionflow.config import SessionConfig
+from sessionflow.functions import epoch, is_user_action, slice_of
+from sessionflow.operators.sessionize import distinct_events
+from sessionflow.operators.timeline import active_slices, session_start, session_timeline
+from sessionflow.schema import EVENT_KEY, PAIR
+
+
+def user_activity(events: DataFrame, cfg: SessionConfig = SessionConfig()) -> DataFrame:
+    """One row per event with
+
+    is_user_event    the event is a user action
+    last_user_t      latest user action at or before the event
+    prev_user_t      latest user action strictly before the event
+    inactivity_gap   seconds since prev_user_t
+    is_new_session   the event is a user action that starts a session
+    start_t          start of the latest session at or before the event
+
+    Times are epoch seconds. The windows run within one slice of a pair, and what lies before
+    the slice comes from the time line; they use the partitioning of the join.
+    """
+    timeline = session_timeline(active_slices(events, cfg), cfg)
+    state = timeline.select(*PAIR, "slice", "first", "before_t", "own", "before")
+    rows = (
+        distinct_events(events)
+        .withColumn("t", epoch("timestamp"))
+        .withColumn("slice", slice_of(F.col("t"), cfg.slice_secs))
+        .withColumn("is_user_event", is_user_action(cfg))
+        .join(state, [*PAIR, "slice"], "left")
+    )
+    by_time = Window.partitionBy(*PAIR, "slice").orderBy("t")
+    action_t = F.when(F.col("is_user_event"), F.col("t"))
+    has_key = F.col("user_id").isNotNull() & F.col("product_code").isNotNull()
+    last_in_slice = F.max(action_t).over(by_time.rangeBetween(Window.unboundedPreceding, 0))
+    prev_in_slice = F.max(action_t).over(by_time.rangeBetween(Window.unboundedPreceding, -1))
+    carried = session_start(replace(cfg, idle_cutoff=False))
+    return (
+        rows.withColumns({"last_in_slice": last_in_slice, "prev_in_slice": prev_in_slice})
+        .select(
+            *EVENT_KEY,
+            "t",
+            "is_user_event",
+            F.when(has_key, F.coalesce("last_in_slice", "before_t")).alias("last_user_t"),
+            F.when(has_key, F.coalesce("prev_in_slice", "before_t")).alias("prev_user_t"),
+            carried["start"].alias("start_t"),
+        )
+        .withColumn("inactivity_gap", F.col("t") - F.col("prev_user_t"))
+        .withColumn(
+            "is_new_session", F.col("is_user_event") & (F.coalesce("start_t", F.lit(-1)) == F.col("t"))
+        )
+    )

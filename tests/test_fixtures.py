@@ -1,0 +1,218 @@
+"""Session rules on literal rows."""
+
+from rows import at, ids, raw, stored, table
+
+from sessionflow.config import SessionConfig
+from sessionflow.operators import (
+    identify_sessions,
+    new_id_changes,
+    overlap_decision,
+    plan_reconciliation,
+    reconcile_sessions,
+    session_bounds,
+    user_activity,
+)
+
+EXISTING = [
+    ("user1", "a", "10:00", "productA", "user1#productA#1710060000"),
+    ("user1", "b", "10:02", "productA", "user1#productA#1710060000"),
+    ("user1", "c", "10:04", "productA", "user1#productA#1710060000"),
+    ("user2", "a", "11:00", "productB", "user2#productB#1710063600"),
+    ("user2", "b", "11:02", "productB", "user2#productB#1710063600"),
+    ("user2", "a", "11:10", "productB", "user2#productB#1710064200"),
+    ("user3", "a", "12:00", "productC", "user3#productC#1710067200"),
+    ("user3", "b", "12:03", "productC", "user3#productC#1710067200"),
+]
+NEW = [
+    ("user1", "a", "10:08", "productA"),
+    ("user1", "b", "10:15", "productA"),
+    ("user2", "c", "10:57", "productB"),
+    ("user3", "a", "11:58", "productC"),
+    ("user3", "b", "12:01", "productC"),
+    ("user4", "a", "13:00", "productD"),
+    ("user4", "b", "13:03", "productD"),
+]
+
+
+def test_reconciliation_cases(spark):
+    new = identify_sessions(raw(spark, NEW))
+    # A column the operators do not know does no harm.
+    existing = stored(spark, EXISTING).selectExpr("*", "event_id in ('a','b','c') is_user_event")
+    result = reconcile_sessions(new, existing)
+    assert result.columns == [
+        "user_id", "product_code", "event_id", "timestamp", "session_id", "event_date",
+    ]
+    assert ids(result) == {
+        ("user1", "a", "10:08:00"): "user1#productA#1710060000",
+        ("user1", "b", "10:15:00"): "user1#productA#1741601700",
+        ("user2", "c", "10:57:00"): "user2#productB#1741604220",
+        ("user3", "a", "11:58:00"): "user3#productC#1741607880",
+        ("user3", "b", "12:01:00"): "user3#productC#1741607880",
+        ("user4", "a", "13:00:00"): "user4#productD#1741611600",
+        ("user4", "b", "13:03:00"): "user4#productD#1741611600",
+        ("user2", "a", "11:00:00"): "user2#productB#1741604220",
+        ("user2", "b", "11:02:00"): "user2#productB#1741604220",
+        ("user3", "a", "12:00:00"): "user3#productC#1741607880",
+        ("user3", "b", "12:03:00"): "user3#productC#1741607880",
+    }
+
+
+def test_id_changes_of_both_sides(spark):
+    new, existing = raw(spark, NEW), stored(spark, EXISTING)
+    changes = plan_reconciliation(new, existing).existing_id_changes().collect()
+    assert sorted((r.original_session_id, r.final_session_id) for r in changes) == [
+        ("user2#productB#1710063600", "user2#productB#1741604220"),
+        ("user3#productC#1710067200", "user3#productC#1741607880"),
+    ]
+    changes = new_id_changes(new, existing).collect()
+    assert [(r.original_session_id, r.final_session_id) for r in changes] == [
+        ("user1#productA#1741601280", "user1#productA#1710060000"),
+    ]
+
+
+def test_overlap_decision(spark):
+    new = identify_sessions(raw(spark, NEW))
+    found = {
+        (r.new_session_id, r.existing_session_id): (
+            r.extends_existing_session,
+            r.precedes_existing_session,
+            r.overlaps_existing_session,
+            r.is_earlier_start,
+            r.final_session_id,
+        )
+        for r in overlap_decision(new, stored(spark, EXISTING)).collect()
+    }
+    n1, x1 = "user1#productA#1741601280", "user1#productA#1710060000"
+    n2, x2 = "user2#productB#1741604220", "user2#productB#1710063600"
+    n3, x3 = "user3#productC#1741607880", "user3#productC#1710067200"
+    lone1, lone4 = "user1#productA#1741601700", "user4#productD#1741611600"
+    assert found == {
+        (n1, x1): (True, False, False, False, x1),
+        (n2, x2): (False, True, False, True, n2),
+        (n3, x3): (False, False, True, True, n3),
+        (lone1, None): (False, False, False, False, lone1),
+        (lone4, None): (False, False, False, False, lone4),
+    }
+
+
+EXTENSION_EXISTING = [
+    ("user1", "a", "10:00", "productA", "user1#productA#1710060000"),
+    ("user1", "b", "10:02", "productA", "user1#productA#1710060000"),
+]
+EXTENSION_NEW = [
+    ("user1", "a", "10:03:20", "productA"),
+    ("user1", "h", "10:03:30", "productA"),
+    ("user1", "h", "10:03:35", "productA"),
+    ("user1", "c", "10:04:30", "productA"),
+    ("user1", "c", "10:14:30", "productA"),
+    ("user1", "h", "10:43:37", "productA"),
+]
+
+
+def test_session_extension(spark):
+    existing = stored(spark, EXTENSION_EXISTING)
+    new = raw(spark, EXTENSION_NEW)
+    old_id = "user1#productA#1710060000"
+    expected = {
+        ("user1", "a", "10:03:20"): old_id,
+        ("user1", "h", "10:03:30"): old_id,
+        ("user1", "h", "10:03:35"): old_id,
+        ("user1", "c", "10:04:30"): old_id,
+        ("user1", "c", "10:14:30"): "user1#productA#1741601670",
+        ("user1", "h", "10:43:37"): None,
+    }
+    assert ids(reconcile_sessions(identify_sessions(new), existing)) == expected
+    expected[("user1", "h", "10:43:37")] = "user1#productA#1741601670"
+    without_cutoff = SessionConfig(idle_cutoff=False)
+    assert ids(reconcile_sessions(new, existing, without_cutoff)) == expected
+
+
+def test_bridge_and_adoption(spark):
+    existing = stored(
+        spark,
+        [
+            ("u", "a", "10:00", "p", "A"),
+            ("u", "a", "10:04", "p", "A"),
+            ("u", "a", "10:12", "p", "B"),
+            ("u", "a", "10:15", "p", "B"),
+            ("u", "d", "10:25", "p", None),
+        ],
+    )
+    new = raw(spark, [("u", "a", "10:08", "p"), ("u", "d", "10:15:30", "p"), ("u", "b", "10:20", "p")])
+    result = ids(reconcile_sessions(new, existing))
+    assert set(result.values()) == {"A"}
+    assert sorted(t for _, _, t in result) == [
+        "10:08:00", "10:12:00", "10:15:00", "10:15:30", "10:20:00", "10:25:00",
+    ]
+
+
+def test_same_second(spark):
+    rows = [("u", "d", "10:00", "p"), ("u", "a", "10:00", "p"), ("u", "b", "10:02", "p")]
+    assert set(ids(identify_sessions(raw(spark, rows))).values()) == {"u#p#1741600800"}
+    assert set(ids(identify_sessions(raw(spark, rows[::-1]))).values()) == {"u#p#1741600800"}
+
+
+def test_starts_with_product_event(spark):
+    found = ids(identify_sessions(raw(spark, [("u", "d", "10:00", "p"), ("u", "a", "10:01", "p")])))
+    assert found == {("u", "d", "10:00:00"): None, ("u", "a", "10:01:00"): "u#p#1741600860"}
+
+
+def test_gap_of_exactly_the_timeout_belongs(spark):
+    rows = [("u", "a", "10:00", "p"), ("u", "a", "10:05", "p"), ("u", "d", "10:10", "p"),
+            ("u", "d", "10:10:01", "p"), ("u", "b", "10:10:01", "p")]
+    found = ids(identify_sessions(raw(spark, rows)))
+    first, second = "u#p#1741600800", "u#p#1741601401"
+    assert found == {
+        ("u", "a", "10:00:00"): first,
+        ("u", "a", "10:05:00"): first,
+        ("u", "d", "10:10:00"): first,
+        ("u", "d", "10:10:01"): second,
+        ("u", "b", "10:10:01"): second,
+    }
+
+
+def test_copies_and_fractions_of_a_second(spark):
+    from pyspark.sql import functions as F
+
+    from sessionflow.sources import normalize_events
+
+    base = raw(spark, [("u", "a", "10:00", "p")] * 3 + [("u", "d", "10:00:01", "p")])
+    late = base.withColumn("timestamp", F.expr("timestamp + interval 250 milliseconds"))
+    found = ids(identify_sessions(normalize_events(base.union(late))))
+    assert len(found) == 2 and set(found.values()) == {"u#p#1741600800"}
+
+
+def test_null_keys_get_no_session(spark):
+    rows = [
+        (None, "a", "10:00", "p"), ("u", "a", "10:00", None), ("u", "a", None, "p"),
+        ("u", None, "10:01", "p"), ("u", "a", "10:00", "p"),
+    ]
+    found = identify_sessions(raw(spark, rows)).collect()
+    assert len(found) == 5
+    for r in found:
+        whole = None not in (r.user_id, r.product_code, r.timestamp)
+        assert (r.session_id is not None) == whole
+    existing = stored(spark, [("u", "a", "10:02", "p", "X")])
+    result = reconcile_sessions(raw(spark, rows), existing).collect()
+    assert len(result) == 6
+    activity = {(r.user_id, r.event_id, r.t): r for r in user_activity(raw(spark, rows)).collect()}
+    assert activity[(None, "a", 1741600800)].last_user_t is None
+    assert activity[("u", None, 1741600860)].last_user_t == 1741600800
+
+
+def test_empty_sides(spark):
+    none_new, none_old = raw(spark, []), stored(spark, [])
+    assert table(reconcile_sessions(none_new, stored(spark, EXISTING))) == []
+    assert table(reconcile_sessions(raw(spark, NEW), none_old)) == table(
+        identify_sessions(raw(spark, NEW))
+    )
+
+
+def test_bounds_across_midnight(spark):
+    rows = [("u", "a", "2025-03-10 23:58:00", "p"), ("u", "a", "2025-03-11 00:01:00", "p"),
+            ("u", "d", "2025-03-11 00:20:00", "p")]
+    found = {r.new_session_id: r for r in session_bounds(identify_sessions(raw(spark, rows)), "new").collect()}
+    day1, day2 = at("2025-03-10 00:00:00").date(), at("2025-03-11 00:00:00").date()
+    kept = found[f"u#p#{int(at('2025-03-10 23:58:00').timestamp())}"]
+    assert (kept.new_min_date, kept.new_max_date) == (day1, day2)
+    assert (found[None].new_min_date, found[None].new_max_date) == (day2, day2)
