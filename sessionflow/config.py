@@ -16,11 +16,14 @@ class SessionConfig:
     user_actions  event ids that are actions of a user, all others come from the product
     idle_cutoff   True: a product event later than the timeout gets no session;
                   False: the last session is carried forward without limit
+    split_rows    a (user, product) pair with more events than this is worked on in time
+                  slices by many tasks; the results are the same
     """
 
     timeout_secs: int = 300
     user_actions: tuple[str, ...] = ("a", "b", "c")
     idle_cutoff: bool = True
+    split_rows: int = 2_000_000
 
     def __post_init__(self) -> None:
         if self.timeout_secs < 1:

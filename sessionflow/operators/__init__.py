@@ -1,4 +1,3 @@
-from sessionflow.operators.activity import user_activity
 from sessionflow.operators.bounds import session_bounds, sessions_by_user
 from sessionflow.operators.candidates import (
     existing_candidates,
@@ -15,7 +14,7 @@ from sessionflow.operators.reconcile import (
     plan_reconciliation,
     reconcile_sessions,
 )
-from sessionflow.operators.sessionize import distinct_events, identify_sessions
+from sessionflow.operators.sessionize import distinct_events, identify_sessions, user_activity
 from sessionflow.operators.stats import batch_stats
 from sessionflow.operators.upsert import merge_into_table, upsert_sessions
 

@@ -2,7 +2,7 @@
 
 Stored sessions take part as intervals, one row each, and only events without a session take
 part one by one: a session never loses a row when events are added, it can only be extended
-or merged into an earlier one. So stored rows are aggregated to sessions before anything is
+or merged into an earlier one. So stored rows are aggregated to sessions before they are
 shuffled, and are read again only for sessions that do get another id.
 """
 
@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from sessionflow.config import SessionConfig
 from sessionflow.functions import epoch, is_user_action, make_session_id, utc_date
+from sessionflow.operators.assign import as_items, assign_sessions, hot_pairs
 from sessionflow.operators.candidates import of_batch_pairs
 from sessionflow.operators.sessionize import distinct_events, identify_sessions
-from sessionflow.operators.timeline import active_slices, label_events, session_timeline
 from sessionflow.schema import EVENT_KEY, PAIR, SESSION_COLUMNS
 
+NEW, LOOSE, STORED = "new", "loose", "stored"
+
 
 def _is_loose(cfg: SessionConfig) -> Column:
     """Stored rows whose id must be found anew, and not through their session's id.
@@ -39,44 +41,33 @@ def _with_date(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Reconciliation:
-    """The plans that make up the reconciliation of one batch; nothing runs before an action.
+    """The plan for one batch; nothing of it runs before an action.
 
-    timeline  session state of every slice and every stored session near the batch
-    loose     stored rows near the batch that are not bound to a stored session
+    ``assigned`` has one row for each event of the batch (kind new), for each stored row near
+    it that is bound to no session (kind loose), and for each stored session near it (kind
+    stored): the id it had, ``old_id``, and the id it gets, ``session_id``.
     """
 
-    new_events: DataFrame
+    assigned: DataFrame
     existing: DataFrame
-    timeline: DataFrame
-    loose: DataFrame
     cfg: SessionConfig
 
     def labelled_rows(self) -> DataFrame:
         """The batch with its final ids, and stored rows that get a session only now (or
         another one, without idle cutoff)."""
-        new = distinct_events(self.new_events).withColumns(
-            {"old_id": F.lit(None).cast("string"), "is_new": F.lit(True)}
-        )
-        loose = self.loose.select(
-            *EVENT_KEY, F.col("session_id").alias("old_id"), F.lit(False).alias("is_new")
-        )
-        return label_events(new.unionByName(loose), self.timeline, self.cfg).where(
-            F.col("is_new") | ~F.col("session_id").eqNullSafe(F.col("old_id"))
-        )
+        same_id = F.col("session_id").eqNullSafe(F.col("old_id"))
+        return self.assigned.where(
+            (F.col("kind") == NEW) | ((F.col("kind") == LOOSE) & ~same_id)
+        ).select(*EVENT_KEY, "session_id")
 
     def existing_id_changes(self) -> DataFrame:
         """Stored sessions that get another id, one row each."""
-        own = F.col("own")
-        return (
-            self.timeline.where(
-                "stored_id is not null and not (own.stored_id <=> stored_id)"
-            )
-            .select(
-                *PAIR,
-                F.col("stored_id").alias("original_session_id"),
-                F.coalesce(own["stored_id"], make_session_id(own["start"])).alias("final_session_id"),
-            )
-            .where("original_session_id <> final_session_id")
+        return self.assigned.where(
+            (F.col("kind") == STORED) & (F.col("session_id") != F.col("old_id"))
+        ).select(
+            *PAIR,
+            F.col("old_id").alias("original_session_id"),
+            F.col("session_id").alias("final_session_id"),
         )
 
     def moved_rows(
@@ -104,9 +95,7 @@ class Reconciliation:
 
         An event that was stored before and is delivered again is one row.
         """
-        columns = [*EVENT_KEY, "session_id"]
-        found = self.labelled_rows().select(*columns)
-        found = found.unionByName(self.moved_rows(stored, id_changes).select(*columns))
+        found = self.labelled_rows().unionByName(self.moved_rows(stored, id_changes))
         return _with_date(found.groupBy(*EVENT_KEY).agg(F.min("session_id").alias("session_id")))
 
 
@@ -115,18 +104,46 @@ def plan_reconciliation(
 ) -> Reconciliation:
     """``new_events`` are raw or sessionized rows of the batch, ``existing`` stored rows that
     include every row within the timeout's reach of the batch (more rows do no harm)."""
-    stored_sessions = of_batch_pairs(
+    sessions = of_batch_pairs(
         existing.where(is_user_action(cfg) & F.col("session_id").isNotNull())
         .groupBy(*PAIR, "session_id")
-        .agg(F.min(epoch("timestamp")).alias("lo"), F.max(epoch("timestamp")).alias("hi")),
+        .agg(F.min(epoch("timestamp")).alias("t"), F.max(epoch("timestamp")).alias("hi")),
         new_events,
     )
-    loose = of_batch_pairs(
-        existing.where(_is_loose(cfg)).select(*EVENT_KEY, "session_id"), new_events
+    all_loose = existing.where(_is_loose(cfg)).select(*EVENT_KEY, "session_id")
+    no_id = F.lit(None).cast("string")
+    events = as_items(
+        distinct_events(new_events)
+        .withColumns({"kind": F.lit(NEW), "old_id": no_id})
+        .unionByName(
+            of_batch_pairs(all_loose, new_events)
+            .withColumnRenamed("session_id", "old_id")
+            .withColumn("kind", F.lit(LOOSE))
+        ),
+        cfg,
+    ).withColumn("stored_id", no_id)
+    items = events.unionByName(
+        sessions.select(
+            *PAIR,
+            no_id.alias("event_id"),
+            F.timestamp_seconds("t").alias("timestamp"),
+            F.lit(STORED).alias("kind"),
+            F.col("session_id").alias("old_id"),
+            "t",
+            "hi",
+            F.col("session_id").alias("stored_id"),
+        )
+    )
+    hot = hot_pairs(new_events.select(*PAIR).unionByName(all_loose.select(*PAIR)), cfg)
+    assigned = assign_sessions(items, cfg, hot, with_stored=True).select(
+        *EVENT_KEY,
+        "kind",
+        "old_id",
+        F.when(
+            F.col("in_session"), F.coalesce("start_id", make_session_id(F.col("start_t")))
+        ).alias("session_id"),
     )
-    points = new_events.select(*EVENT_KEY).unionByName(loose.select(*EVENT_KEY))
-    timeline = session_timeline(active_slices(points, cfg), cfg, stored_sessions)
-    return Reconciliation(new_events, existing, timeline, loose, cfg)
+    return Reconciliation(assigned, existing, cfg)
 
 
 def reconcile_sessions(
@@ -144,29 +161,38 @@ def reconcile_sessions(
     return plan_reconciliation(new_events, existing, cfg).rows(stored)
 
 
+def _alone_and_final(
+    new_events: DataFrame, existing: DataFrame, cfg: SessionConfig
+) -> DataFrame:
+    """Each event of the batch with its id in the batch alone and its final id."""
+    alone = identify_sessions(new_events, cfg).withColumnRenamed("session_id", "alone_id")
+    final = plan_reconciliation(new_events, existing, cfg).assigned.where(F.col("kind") == NEW)
+    return alone.join(final.select(*EVENT_KEY, "session_id"), EVENT_KEY)
+
+
 def new_id_changes(
     new_events: DataFrame, existing: DataFrame, cfg: SessionConfig = SessionConfig()
 ) -> DataFrame:
     """Sessions of the batch taken alone that get another id with the stored ones."""
-    alone = (
-        identify_sessions(new_events, cfg)
-        .where(is_user_action(cfg) & F.col("session_id").isNotNull())
-        .groupBy(*PAIR, F.col("session_id").alias("original_session_id"))
-        .agg(F.min("timestamp").alias("timestamp"))
-    )
-    timeline = plan_reconciliation(new_events, existing, cfg).timeline
     return (
-        label_events(alone, timeline, cfg)
-        .where("original_session_id <> session_id")
-        .select(*PAIR, "original_session_id", F.col("session_id").alias("final_session_id"))
+        _alone_and_final(new_events, existing, cfg)
+        .where("alone_id <> session_id")
+        .select(
+            *PAIR,
+            F.col("alone_id").alias("original_session_id"),
+            F.col("session_id").alias("final_session_id"),
+        )
+        .distinct()
     )
 
 
 def adopted_rows(
     new_events: DataFrame, existing: DataFrame, cfg: SessionConfig = SessionConfig()
 ) -> DataFrame:
-    """Rows of the batch that have no session in the batch alone, but have one with the
+    """Events of the batch that have no session in the batch alone, but have one with the
     stored sessions."""
-    orphans = identify_sessions(new_events, cfg).where("session_id is null").select(*EVENT_KEY)
-    timeline = plan_reconciliation(new_events, existing, cfg).timeline
-    return _with_date(label_events(orphans, timeline, cfg).where("session_id is not null"))
+    return (
+        _alone_and_final(new_events, existing, cfg)
+        .where("alone_id is null and session_id is not null")
+        .select(*SESSION_COLUMNS)
+    )

@@ -1,131 +1,75 @@
-"""The time line: one row for each time slice in which a user touched a product.
+"""Session state of pairs that are too large for one task.
 
-A slice is never wider than the timeout, so all user actions in it belong to one session,
-and only the first of them can start a session. The first and the last action of each slice
-are therefore all that is needed to find every session. They come from a plain aggregation
-with a map-side part, and the window over a (user, product) pair only sees slices, never
-events: its size is bounded by the time span of the data, however many events a pair has.
-Events get their session by an equi-join on (user, product, slice).
+A slice is never wider than the timeout, so all user actions in it belong to one session, and
+only the first of them can start a session. The first and the last action of each slice are
+therefore all that is needed to find every session. They come from an aggregation with a
+map-side part, and the window over a (user, product) pair sees slices and never events: its
+size is bounded by the time span of the data, however many events the pair has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionflow.config import SessionConfig
-from sessionflow.functions import epoch, is_user_action, make_session_id, slice_of
+from sessionflow.functions import slice_of
 from sessionflow.schema import PAIR
 
 
-def active_slices(events: DataFrame, cfg: SessionConfig) -> DataFrame:
-    """First (``lo``) and last (``hi``) user action of each slice that has any event."""
-    t = epoch("timestamp")
-    action_t = F.when(is_user_action(cfg), t)
-    return (
-        events.where("user_id is not null and product_code is not null and timestamp is not null")
-        .groupBy(*PAIR, slice_of(t, cfg.slice_secs).alias("slice"))
-        .agg(F.min(action_t).alias("lo"), F.max(action_t).alias("hi"))
+def active_slices(items: DataFrame, cfg: SessionConfig) -> DataFrame:
+    """First (``lo``) and last (``hi``) user action of each slice that has any item."""
+    return items.groupBy(*PAIR, slice_of(F.col("t"), cfg.slice_secs).alias("slice")).agg(
+        F.min(F.when(F.col("hi").isNotNull(), F.col("t"))).alias("lo"), F.max("hi").alias("hi")
     )
 
 
-def session_timeline(
-    slices: DataFrame, cfg: SessionConfig, stored: DataFrame | None = None
-) -> DataFrame:
-    """Session state of every slice.
+def carried_state(items: DataFrame, cfg: SessionConfig, with_stored: bool = False) -> DataFrame:
+    """What lies before each slice: one row per (user, product, slice) with
 
-    ``stored`` may give sessions that have an id already, as (user_id, product_code,
-    session_id, lo, hi). Each is one interval of user actions; where such intervals and new
-    actions become connected, the id at the earliest action survives, and a stored id goes
-    before a new one.
+    before_t  the latest user action before the slice
+    before    the session of that action: its start, or ``with_stored`` a struct
+              (start, stored_id)
 
-    Columns added to the input rows:
-
-    first     struct of the slice's first action time and the stored id found there
-    before_t  latest user action of all earlier slices
-    own       struct (start, id) of the session the slice's actions belong to
-    before    struct (start, id) of the session that was last when the slice began
+    ``items`` have the columns user_id, product_code, t, hi and, ``with_stored``, stored_id; see
+    ``assign_sessions``.
     """
-    items = slices.select(
-        *PAIR, "slice", "lo", "hi", F.lit(None).cast("string").alias("stored_id")
-    )
-    if stored is not None:
-        items = items.unionByName(
-            stored.select(
-                *PAIR,
-                slice_of(F.col("lo"), cfg.slice_secs).alias("slice"),
-                "lo",
-                "hi",
-                F.col("session_id").alias("stored_id"),
-            )
-        )
+    state = active_slices(items, cfg)
     by_slice = Window.partitionBy(*PAIR).orderBy("slice")
-    same = by_slice.rangeBetween(Window.currentRow, Window.currentRow)
     earlier = by_slice.rangeBetween(Window.unboundedPreceding, -1)
-    so_far = by_slice.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-
-    if stored is None:
-        first = F.when(
-            F.col("lo").isNotNull(), F.struct(F.col("lo").alias("start"), F.col("stored_id"))
+    start = opener = F.col("lo")
+    if with_stored:
+        # The ids of stored sessions come as rows of their own beside the slice rows.
+        stored = items.where("stored_id is not null").select(
+            *PAIR,
+            slice_of(F.col("t"), cfg.slice_secs).alias("slice"),
+            F.col("t").alias("lo"),
+            "hi",
+            "stored_id",
         )
-    else:
-        # The flag makes a stored id win over a new row in the same second.
+        state = state.withColumn("stored_id", F.lit(None).cast("string")).unionByName(stored)
+        # The earliest action of the slice; a stored session goes before a new event.
+        same = by_slice.rangeBetween(Window.currentRow, Window.currentRow)
         candidate = F.when(
             F.col("lo").isNotNull(),
-            F.struct(
-                F.col("lo").alias("start"),
-                F.col("stored_id").isNull().alias("is_new"),
-                F.col("stored_id"),
-            ),
-        )
-        earliest = F.min(candidate).over(same)
-        first = F.when(
-            earliest.isNotNull(),
-            F.struct(
-                earliest["start"].alias("start"), earliest["stored_id"].alias("stored_id")
-            ),
+            F.struct("lo", F.col("stored_id").isNull().alias("is_new"), "stored_id"),
         )
+        state = state.withColumn("first", F.min(candidate).over(same))
+        start = F.col("first")["lo"]
+        opener = F.struct(start.alias("start"), F.col("first")["stored_id"].alias("stored_id"))
     opened = F.when(
-        F.col("before_t").isNull()
-        | (F.col("first")["start"] - F.col("before_t") > F.lit(cfg.timeout_secs)),
-        F.col("first"),
+        start.isNotNull()
+        & (
+            F.col("before_t").isNull()
+            | (start - F.col("before_t") > F.lit(cfg.timeout_secs))
+        ),
+        opener,
     )
-    return (
-        items.withColumns({"first": first, "before_t": F.max("hi").over(earlier)})
+    state = (
+        state.withColumn("before_t", F.max("hi").over(earlier))
         .withColumn("opened", opened)
-        .withColumns(
-            {"own": F.max("opened").over(so_far), "before": F.max("opened").over(earlier)}
-        )
-        .drop("opened")
-    )
-
-
-def session_start(cfg: SessionConfig) -> Column:
-    """Struct (start, id) of the session of an event ``t`` joined to its slice, or NULL."""
-    in_reach = F.lit(True)
-    if cfg.idle_cutoff:
-        in_reach = F.col("t") - F.col("before_t") <= F.lit(cfg.timeout_secs)
-    return F.when(F.col("t") >= F.col("first")["start"], F.col("own")).when(
-        in_reach, F.col("before")
-    )
-
-
-def label_events(events: DataFrame, timeline: DataFrame, cfg: SessionConfig) -> DataFrame:
-    """Give each event its ``session_id`` and ``start_t``; all columns of the event are kept."""
-    state = timeline.where("stored_id is null").select(
-        *PAIR, "slice", "first", "before_t", "own", "before"
-    )
-    session = F.col("session")
-    return (
-        events.withColumn("t", epoch("timestamp"))
-        .withColumn("slice", slice_of(F.col("t"), cfg.slice_secs))
-        .join(state, [*PAIR, "slice"], "left")
-        .withColumn("session", session_start(cfg))
-        .select(
-            *events.columns,
-            session["start"].alias("start_t"),
-            F.coalesce(session["stored_id"], make_session_id(session["start"])).alias(
-                "session_id"
-            ),
-        )
+        .withColumn("before", F.max("opened").over(earlier))
     )
+    if with_stored:
+        state = state.where("stored_id is null")
+    return state.select(*PAIR, "slice", "before_t", "before")

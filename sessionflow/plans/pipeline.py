@@ -12,7 +12,7 @@ from sessionflow.operators.candidates import in_partitions, of_batch_pairs, prun
 from sessionflow.operators.reconcile import plan_reconciliation
 from sessionflow.operators.sessionize import identify_sessions
 from sessionflow.operators.stats import batch_stats
-from sessionflow.operators.upsert import upsert_sessions
+from sessionflow.operators.upsert import upsert_sessions, write_partitions
 from sessionflow.sources.events import read_events
 from sessionflow.sources.files import archive_files, delete_path, new_work_path
 from sessionflow.sources.table import read_session_table
@@ -24,6 +24,10 @@ class BatchStats:
     sessions: int
 
 
+def _stats(rows: DataFrame) -> BatchStats:
+    return BatchStats(*batch_stats(rows).select("events", "sessions").first())
+
+
 def process_batch(
     spark: SparkSession,
     new_events: DataFrame,
@@ -36,7 +40,14 @@ def process_batch(
     written under ``spark.checkpoint.dir``: they outlive lost executors, cut the lineage to
     the table that is about to be rewritten, and have a known size.
     """
+    if new_events.isEmpty():
+        return BatchStats(0, 0)
     user_type = new_events.schema["user_id"].dataType
+    stored = read_session_table(spark, table_path, user_type)
+    if stored is None:
+        write_partitions(identify_sessions(new_events, cfg), table_path)
+        return _stats(read_session_table(spark, table_path, user_type))
+
     work = new_work_path(spark, "batch")
 
     def written(rows: DataFrame, name: str) -> DataFrame:
@@ -44,25 +55,19 @@ def process_batch(
         return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
     try:
-        stored = read_session_table(spark, table_path, user_type)
-        if stored is None:
-            rows = written(identify_sessions(new_events, cfg), "rows")
+        if cfg.idle_cutoff:
+            dates = prune_dates(new_events, cfg)
+            near = in_partitions(stored, dates)
+            # A renamed session starts near the batch, but may go on after it.
+            later = stored.where(F.col("event_date") >= dates.agg(F.min("event_date")).scalar())
         else:
-            if cfg.idle_cutoff:
-                near_dates = written(prune_dates(new_events, cfg), "dates")
-                near = in_partitions(stored, near_dates)
-                first_date = near_dates.agg(F.min("event_date")).scalar()
-                later = stored.where(F.col("event_date") >= first_date)
-            else:
-                near = later = of_batch_pairs(stored, new_events)
-            plan = plan_reconciliation(new_events, near, cfg)
-            plan = replace(plan, timeline=written(plan.timeline, "timeline"))
-            changes = written(plan.existing_id_changes(), "changes")
-            rows = written(plan.rows(later, changes), "rows")
-        events, sessions = batch_stats(rows).select("events", "sessions").first()
-        if events:
-            upsert_sessions(spark, rows, table_path, unique_keys=True)
-        return BatchStats(events, sessions)
+            near = later = of_batch_pairs(stored, new_events)
+        plan = plan_reconciliation(new_events, near, cfg)
+        plan = replace(plan, assigned=written(plan.assigned, "assigned"))
+        changes = written(plan.existing_id_changes(), "changes")
+        rows = written(plan.rows(later, changes), "rows")
+        upsert_sessions(spark, rows, table_path, unique_keys=True)
+        return _stats(rows)
     finally:
         delete_path(spark, work)
 
@@ -79,15 +84,10 @@ def run_batch(
     No waiting file is no work. The table is written before the files move, and a crash in
     between only means that the batch is applied once more.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(raw_path)
-        .inputFiles()
-    )
-    if not files:
+    waiting = read_events(spark, raw_path).inputFiles()
+    if not waiting:
         return BatchStats(0, 0)
-    stats = process_batch(spark, read_events(spark, files), table_path, cfg)
+    stats = process_batch(spark, read_events(spark, waiting), table_path, cfg)
     if archive_dir is not None:
-        archive_files(spark, files, archive_dir)
+        archive_files(spark, waiting, archive_dir)
     return stats
