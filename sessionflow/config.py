@@ -23,7 +23,7 @@ class SessionConfig:
     timeout_secs: int = 300
     user_actions: tuple[str, ...] = ("a", "b", "c")
     idle_cutoff: bool = True
-    split_rows: int = 2_000_000
+    split_rows: int = 500_000
 
     def __post_init__(self) -> None:
         if self.timeout_secs < 1:

@@ -3,6 +3,7 @@ from sessionflow.functions.expressions import (
     is_user_action,
     make_session_id,
     slice_of,
+    user_action_filter,
     utc_date,
     whole_seconds,
     widened_dates,
@@ -13,6 +14,7 @@ __all__ = [
     "is_user_action",
     "make_session_id",
     "slice_of",
+    "user_action_filter",
     "utc_date",
     "whole_seconds",
     "widened_dates",

@@ -27,9 +27,14 @@ def slice_of(t: Column, width: int) -> Column:
     return F.floor(t / F.lit(width)).cast("bigint")
 
 
-def is_user_action(cfg: SessionConfig, event_id: Column | str = "event_id") -> Column:
-    event_id = F.col(event_id) if isinstance(event_id, str) else event_id
-    return F.coalesce(event_id.isin(*cfg.user_actions), F.lit(False))
+def is_user_action(cfg: SessionConfig) -> Column:
+    """A flag that is never NULL."""
+    return F.coalesce(user_action_filter(cfg), F.lit(False))
+
+
+def user_action_filter(cfg: SessionConfig) -> Column:
+    """The same as a filter, in the form that is pushed down to Parquet."""
+    return F.col("event_id").isin(*cfg.user_actions)
 
 
 def make_session_id(start: Column) -> Column:

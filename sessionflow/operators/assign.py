@@ -18,8 +18,8 @@ def hot_pairs(events: DataFrame, cfg: SessionConfig) -> DataFrame | None:
     """Pairs with more than ``split_rows`` events, or None if there is none.
 
     Runs a count by pair, which shuffles one row per pair and task. The list is fetched with
-    a check of its length, so that Spark can broadcast it without guessing; a longer list
-    stays distributed.
+    a check of its length and broadcast; a longer list stays distributed and is joined as Spark
+    sees fit.
     """
     hot = (
         events.groupBy(*PAIR)
@@ -32,7 +32,7 @@ def hot_pairs(events: DataFrame, cfg: SessionConfig) -> DataFrame | None:
         return None
     if len(found) > MAX_LOCAL_PAIRS:
         return hot
-    return events.sparkSession.createDataFrame(found, hot.schema)
+    return F.broadcast(events.sparkSession.createDataFrame(found, hot.schema))
 
 
 def as_items(events: DataFrame, cfg: SessionConfig) -> DataFrame:
@@ -42,7 +42,11 @@ def as_items(events: DataFrame, cfg: SessionConfig) -> DataFrame:
 
 
 def assign_sessions(
-    items: DataFrame, cfg: SessionConfig, hot: DataFrame | None, with_stored: bool = False
+    items: DataFrame,
+    cfg: SessionConfig,
+    hot: DataFrame | None,
+    with_stored: bool = False,
+    with_copies: DataFrame | None = None,
 ) -> DataFrame:
     """Find the session of each item. Items are
 
@@ -60,19 +64,28 @@ def assign_sessions(
     A pair is one window partition, sorted by time. A hot pair is one partition per slice, and
     what lies before a slice is joined to its rows; that join and the windows share one
     shuffle. Frames are by value of ``t``, so the order of items in one second is irrelevant.
+
+    ``with_copies`` may give the items as they were before copies were removed. The state
+    before a slice is the same and needs no shuffle of events when taken from there.
     """
     keys = list(PAIR)
     before_t = before = None
     if hot is not None:
-        marked = hot.select(*(F.col(c).alias(f"hot_{c}") for c in PAIR), F.lit(True).alias("hot"))
+        named = hot.select(*(F.col(c).alias(f"hot_{c}") for c in PAIR))
         same_pair = F.lit(True)
         for c in PAIR:
             same_pair = same_pair & F.col(c).eqNullSafe(F.col(f"hot_{c}"))
-        items = items.join(marked, same_pair, "left").withColumn(
+        source = items if with_copies is None else with_copies
+        state = carried_state(
+            source.where("user_id is not null and product_code is not null and t is not null").join(
+                hot, PAIR, "left_semi"
+            ),
+            cfg,
+            with_stored,
+        )
+        items = items.join(named.withColumn("hot", F.lit(True)), same_pair, "left").withColumn(
             "slice", F.when(F.col("hot"), slice_of(F.col("t"), cfg.slice_secs))
         )
-        whole = "hot and user_id is not null and product_code is not null and t is not null"
-        state = carried_state(items.where(whole), cfg, with_stored)
         keys.append("slice")
         items = items.drop("hot", *(f"hot_{c}" for c in PAIR)).join(state, keys, "left")
         before_t, before = F.col("before_t"), F.col("before")

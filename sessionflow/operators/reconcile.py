@@ -14,7 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionflow.config import SessionConfig
-from sessionflow.functions import epoch, is_user_action, make_session_id, utc_date
+from sessionflow.functions import (
+    epoch,
+    is_user_action,
+    make_session_id,
+    user_action_filter,
+    utc_date,
+)
 from sessionflow.operators.assign import as_items, assign_sessions, hot_pairs
 from sessionflow.operators.candidates import of_batch_pairs
 from sessionflow.operators.sessionize import distinct_events, identify_sessions
@@ -105,25 +111,20 @@ def plan_reconciliation(
     """``new_events`` are raw or sessionized rows of the batch, ``existing`` stored rows that
     include every row within the timeout's reach of the batch (more rows do no harm)."""
     sessions = of_batch_pairs(
-        existing.where(is_user_action(cfg) & F.col("session_id").isNotNull())
+        existing.where(user_action_filter(cfg) & F.col("session_id").isNotNull())
         .groupBy(*PAIR, "session_id")
         .agg(F.min(epoch("timestamp")).alias("t"), F.max(epoch("timestamp")).alias("hi")),
         new_events,
     )
     all_loose = existing.where(_is_loose(cfg)).select(*EVENT_KEY, "session_id")
+    loose = of_batch_pairs(all_loose, new_events)
     no_id = F.lit(None).cast("string")
-    events = as_items(
-        distinct_events(new_events)
-        .withColumns({"kind": F.lit(NEW), "old_id": no_id})
-        .unionByName(
-            of_batch_pairs(all_loose, new_events)
-            .withColumnRenamed("session_id", "old_id")
-            .withColumn("kind", F.lit(LOOSE))
-        ),
-        cfg,
-    ).withColumn("stored_id", no_id)
-    items = events.unionByName(
-        sessions.select(
+
+    def items(batch: DataFrame) -> DataFrame:
+        events = batch.withColumns({"kind": F.lit(NEW), "old_id": no_id}).unionByName(
+            loose.withColumnRenamed("session_id", "old_id").withColumn("kind", F.lit(LOOSE))
+        )
+        intervals = sessions.select(
             *PAIR,
             no_id.alias("event_id"),
             F.timestamp_seconds("t").alias("timestamp"),
@@ -133,9 +134,16 @@ def plan_reconciliation(
             "hi",
             F.col("session_id").alias("stored_id"),
         )
-    )
+        return as_items(events, cfg).withColumn("stored_id", no_id).unionByName(intervals)
+
     hot = hot_pairs(new_events.select(*PAIR).unionByName(all_loose.select(*PAIR)), cfg)
-    assigned = assign_sessions(items, cfg, hot, with_stored=True).select(
+    assigned = assign_sessions(
+        items(distinct_events(new_events)),
+        cfg,
+        hot,
+        with_stored=True,
+        with_copies=items(new_events.select(*EVENT_KEY)),
+    ).select(
         *EVENT_KEY,
         "kind",
         "old_id",

@@ -18,7 +18,8 @@ def distinct_events(events: DataFrame) -> DataFrame:
 
 def _assigned(events: DataFrame, cfg: SessionConfig) -> DataFrame:
     items = as_items(distinct_events(events), cfg)
-    return assign_sessions(items, cfg, hot_pairs(events, cfg))
+    with_copies = as_items(events.select(*EVENT_KEY), cfg)
+    return assign_sessions(items, cfg, hot_pairs(events, cfg), with_copies=with_copies)
 
 
 def identify_sessions(events: DataFrame, cfg: SessionConfig = SessionConfig()) -> DataFrame:

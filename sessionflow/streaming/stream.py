@@ -8,8 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType
 
 from sessionflow.config import SessionConfig
-from sessionflow.functions import is_user_action
+from sessionflow.functions import epoch, user_action_filter
+from sessionflow.operators.assign import assign_sessions, hot_pairs
 from sessionflow.plans.pipeline import process_batch
+from sessionflow.schema import PAIR
 from sessionflow.sources.events import stream_events
 
 
@@ -46,21 +48,45 @@ def session_windows(
 ) -> DataFrame:
     """Start, end and number of user actions of each session, for batches and streams.
 
-    ``late_days`` is how late events of a stream may be; a session is final once the
-    watermark has passed its end.
+    The end is the last action plus the timeout. ``late_days`` is how late events of a stream
+    may be; a session of a stream is final once the watermark has passed its end.
     """
-    actions = events.where(is_user_action(cfg))
+    actions = events.where(user_action_filter(cfg)).where(
+        "user_id is not null and product_code is not null and timestamp is not null"
+    )
+    if not events.isStreaming:
+        return _batch_session_windows(actions, cfg)
     if late_days is not None:
         actions = actions.withWatermark("timestamp", f"{late_days} days")
-    gap = f"{cfg.timeout_secs} seconds"
+    window = F.session_window("timestamp", f"{cfg.timeout_secs} seconds")
     return (
-        actions.groupBy("user_id", "product_code", F.session_window("timestamp", gap).alias("w"))
+        actions.groupBy(*PAIR, window.alias("w"))
         .agg(F.count(F.lit(1)).alias("actions"))
         .select(
-            "user_id",
-            "product_code",
+            *PAIR,
             F.col("w.start").alias("session_start"),
             F.col("w.end").alias("session_end"),
             "actions",
         )
     )
+
+
+def _batch_session_windows(actions: DataFrame, cfg: SessionConfig) -> DataFrame:
+    """Without a stream's state the pairs can be split, and copies collapse before they do."""
+    t = epoch("timestamp")
+    items = (
+        actions.groupBy(*PAIR, t.alias("t"))
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("hi", F.col("t"))
+    )
+    return (
+        assign_sessions(items, cfg, hot_pairs(actions, cfg))
+        .groupBy(*PAIR, "start_t")
+        .agg(F.max("t").alias("last_t"), F.sum("copies").alias("actions"))
+        .select(
+            *PAIR,
+            F.timestamp_seconds("start_t").alias("session_start"),
+            F.timestamp_seconds(F.col("last_t") + F.lit(cfg.timeout_secs)).alias("session_end"),
+            "actions",
+        )
+    )
