@@ -33,11 +33,17 @@ from sessionflow.operators import (
 )
 from sessionflow.operators.sessionize import distinct_events
 from sessionflow.plans import process_batch, run_batch
-from sessionflow.sources import new_work_path, normalize_events, read_session_table
+from sessionflow.sources import (
+    new_work_path,
+    normalize_events,
+    read_session_table,
+    stream_events,
+)
 from sessionflow.streaming import session_windows, start_session_stream
 
 ACTIONS = ("click", "purchase", "view")
 CUT = "2024-01-20"
+LATE_DAYS = 20
 CONFIG = SessionConfig(timeout_secs=21600, user_actions=ACTIONS)
 CONFIG_300S = SessionConfig(timeout_secs=300, user_actions=ACTIONS)
 CONFIG_NO_CUTOFF = SessionConfig(timeout_secs=21600, user_actions=ACTIONS, idle_cutoff=False)
@@ -234,6 +240,24 @@ def session_windows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_seconds(session_windows(raw_events(spark, sf_dir), CONFIG))
 
 
+def stream_session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions a stream has closed when all files are read: those before the watermark."""
+    raw, closed = new_work_path(spark, "raw"), new_work_path(spark, "closed")
+    write_batches(spark, sf_dir, raw)
+    events = stream_events(spark, raw, max_files_per_trigger=1, user_type=LongType())
+    (
+        session_windows(events, CONFIG, LATE_DAYS)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", closed)
+        .option("checkpointLocation", new_work_path(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return with_seconds(spark.read.parquet(closed))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_normalized": events_normalized,
     "user_action_flag": user_action_flag,
@@ -263,6 +287,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_files_table": batch_files_table,
     "stream_upserted_table": stream_upserted_table,
     "session_windows": session_windows_query,
+    "stream_session_windows": stream_session_windows,
 }
 
 
@@ -426,6 +451,27 @@ from {source} o join final f using ({EVENT_COLUMNS})
 where o.session_id is not null and o.session_id <> f.session_id"""
 
     whole_table = with_ctes(all_rows, select="select * from final")
+    windows_sql = with_ctes(
+        f"""
+actions as (
+  select * from raw where event_id in ({", ".join(f"'{a}'" for a in ACTIONS)})
+),
+gaps as (
+  select *, lag(t) over (partition by user_id, product_code order by t) as prev_t from actions
+),
+islands as (
+  select *, sum(case when prev_t is null or t - prev_t > 21600 then 1 else 0 end)
+              over (partition by user_id, product_code order by t
+                    rows between unbounded preceding and current row) as island
+  from gaps
+),
+windows as (
+  select user_id, product_code, min(t) as session_start, max(t) + 21600 as session_end,
+         count(*) as actions
+  from islands group by user_id, product_code, island
+)""",
+        select="",
+    )
     actions = ", ".join(f"'{a}'" for a in ACTIONS)
     return {
         "events_normalized": with_ctes(
@@ -489,21 +535,9 @@ where o.session_id is null and f.session_id is not null""",
         "upsert_replay": whole_table,
         "batch_files_table": whole_table,
         "stream_upserted_table": whole_table,
-        "session_windows": with_ctes(
-            f"""
-actions as (select * from raw where event_id in ({actions})),
-gaps as (
-  select *, lag(t) over (partition by user_id, product_code order by t) as prev_t from actions
-),
-islands as (
-  select *, sum(case when prev_t is null or t - prev_t > 21600 then 1 else 0 end)
-              over (partition by user_id, product_code order by t
-                    rows between unbounded preceding and current row) as island
-  from gaps
-)""",
-            select="""
-select user_id, product_code, min(t) as session_start, max(t) + 21600 as session_end,
-       count(*) as actions
-from islands group by user_id, product_code, island""",
-        ),
+        "session_windows": windows_sql + " select * from windows",
+        "stream_session_windows": windows_sql
+        + f"""
+select * from windows
+where session_end <= (select max(t) - {LATE_DAYS} * 86400 from actions)""",
     }
