@@ -82,7 +82,11 @@ def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_sessions(spark: SparkSession, sf_dir: str, cfg: SessionConfig = CONFIG) -> DataFrame:
-    return identify_sessions(stored_events(spark, sf_dir), cfg)
+    """The sessions of the earlier arrivals, written and read back as stored rows are."""
+    path = new_work_path(spark, "stored")
+    rows = identify_sessions(stored_events(spark, sf_dir), cfg)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 # --- result shape ---------------------------------------------------------------------------

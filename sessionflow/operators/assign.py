@@ -35,6 +35,15 @@ def hot_pairs(events: DataFrame, cfg: SessionConfig) -> DataFrame | None:
     return F.broadcast(events.sparkSession.createDataFrame(found, hot.schema))
 
 
+def without_copies(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Distinct rows, laid out for the windows of ``assign_sessions``.
+
+    Without a hot pair one shuffle by pair serves both. A hot pair may be hot because of copies,
+    so these are collapsed map-side first, and the shuffle by slice comes after.
+    """
+    return rows.repartition(*PAIR).distinct() if hot is None else rows.distinct()
+
+
 def as_items(events: DataFrame, cfg: SessionConfig) -> DataFrame:
     """Adds ``t``, the time in epoch seconds, and ``hi``, the same for user actions only."""
     t = epoch("timestamp")

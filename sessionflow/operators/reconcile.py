@@ -21,9 +21,14 @@ from sessionflow.functions import (
     user_action_filter,
     utc_date,
 )
-from sessionflow.operators.assign import as_items, assign_sessions, hot_pairs
+from sessionflow.operators.assign import (
+    as_items,
+    assign_sessions,
+    hot_pairs,
+    without_copies,
+)
 from sessionflow.operators.candidates import of_batch_pairs
-from sessionflow.operators.sessionize import distinct_events, identify_sessions
+from sessionflow.operators.sessionize import identify_sessions
 from sessionflow.schema import EVENT_KEY, PAIR, SESSION_COLUMNS
 
 NEW, LOOSE, STORED = "new", "loose", "stored"
@@ -120,29 +125,27 @@ def plan_reconciliation(
     loose = of_batch_pairs(all_loose, new_events)
     no_id = F.lit(None).cast("string")
 
-    def items(batch: DataFrame) -> DataFrame:
-        events = batch.withColumns({"kind": F.lit(NEW), "old_id": no_id}).unionByName(
+    events = (
+        new_events.select(*EVENT_KEY)
+        .withColumns({"kind": F.lit(NEW), "old_id": no_id})
+        .unionByName(
             loose.withColumnRenamed("session_id", "old_id").withColumn("kind", F.lit(LOOSE))
         )
-        intervals = sessions.select(
-            *PAIR,
-            no_id.alias("event_id"),
-            F.timestamp_seconds("t").alias("timestamp"),
-            F.lit(STORED).alias("kind"),
-            F.col("session_id").alias("old_id"),
-            "t",
-            "hi",
-            F.col("session_id").alias("stored_id"),
-        )
-        return as_items(events, cfg).withColumn("stored_id", no_id).unionByName(intervals)
-
+    )
+    intervals = sessions.select(
+        *PAIR,
+        no_id.alias("event_id"),
+        F.timestamp_seconds("t").alias("timestamp"),
+        F.lit(STORED).alias("kind"),
+        F.col("session_id").alias("old_id"),
+        "t",
+        "hi",
+        F.col("session_id").alias("stored_id"),
+    )
+    items = as_items(events, cfg).withColumn("stored_id", no_id).unionByName(intervals)
     hot = hot_pairs(new_events.select(*PAIR).unionByName(all_loose.select(*PAIR)), cfg)
     assigned = assign_sessions(
-        items(distinct_events(new_events)),
-        cfg,
-        hot,
-        with_stored=True,
-        with_copies=items(new_events.select(*EVENT_KEY)),
+        without_copies(items, hot), cfg, hot, with_stored=True, with_copies=items
     ).select(
         *EVENT_KEY,
         "kind",

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from sessionflow.config import SessionConfig
 from sessionflow.functions import make_session_id, utc_date
-from sessionflow.operators.assign import as_items, assign_sessions, hot_pairs
+from sessionflow.operators.assign import (
+    as_items,
+    assign_sessions,
+    hot_pairs,
+    without_copies,
+)
 from sessionflow.schema import EVENT_KEY, SESSION_COLUMNS
 
 
@@ -17,9 +22,10 @@ def distinct_events(events: DataFrame) -> DataFrame:
 
 
 def _assigned(events: DataFrame, cfg: SessionConfig) -> DataFrame:
-    items = as_items(distinct_events(events), cfg)
-    with_copies = as_items(events.select(*EVENT_KEY), cfg)
-    return assign_sessions(items, cfg, hot_pairs(events, cfg), with_copies=with_copies)
+    rows = events.select(*EVENT_KEY)
+    hot = hot_pairs(rows, cfg)
+    items = as_items(without_copies(rows, hot), cfg)
+    return assign_sessions(items, cfg, hot, with_copies=as_items(rows, cfg))
 
 
 def identify_sessions(events: DataFrame, cfg: SessionConfig = SessionConfig()) -> DataFrame:

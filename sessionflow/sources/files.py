@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -21,15 +22,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, target).exists(target)
 
 
+@cache
+def _local_work_dir() -> str:
+    return tempfile.mkdtemp(prefix="sessionflow-")
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
     Only where that is not set (a local test session) a temporary folder is taken.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="sessionflow-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_work_dir()
     return shared.rstrip("/")
 
 

@@ -73,14 +73,16 @@ def session_windows(
 
 def _batch_session_windows(actions: DataFrame, cfg: SessionConfig) -> DataFrame:
     """Without a stream's state the pairs can be split, and copies collapse before they do."""
-    t = epoch("timestamp")
+    hot = hot_pairs(actions, cfg)
+    # One shuffle by pair serves the counts and the windows, unless a pair is hot.
+    rows = actions.repartition(*PAIR) if hot is None else actions
     items = (
-        actions.groupBy(*PAIR, t.alias("t"))
+        rows.groupBy(*PAIR, epoch("timestamp").alias("t"))
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("hi", F.col("t"))
     )
     return (
-        assign_sessions(items, cfg, hot_pairs(actions, cfg))
+        assign_sessions(items, cfg, hot)
         .groupBy(*PAIR, "start_t")
         .agg(F.max("t").alias("last_t"), F.sum("copies").alias("actions"))
         .select(
