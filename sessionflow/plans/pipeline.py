@@ -14,7 +14,7 @@ from sessionflow.operators.sessionize import identify_sessions
 from sessionflow.operators.stats import batch_stats
 from sessionflow.operators.upsert import upsert_sessions, write_partitions
 from sessionflow.sources.events import read_events
-from sessionflow.sources.files import archive_files, delete_path, new_work_path
+from sessionflow.sources.files import archive_files, delete_path, new_work_path, path_exists
 from sessionflow.sources.table import read_session_table
 
 
@@ -81,10 +81,10 @@ def run_batch(
 ) -> BatchStats:
     """Process all files that wait in ``raw_path``, then move them to ``archive_dir``.
 
-    No waiting file is no work. The table is written before the files move, and a crash in
+    No waiting file, or no folder yet, is no work. The table is written before the files move, and a crash in
     between only means that the batch is applied once more.
     """
-    waiting = read_events(spark, raw_path).inputFiles()
+    waiting = read_events(spark, raw_path).inputFiles() if path_exists(spark, raw_path) else []
     if not waiting:
         return BatchStats(0, 0)
     stats = process_batch(spark, read_events(spark, waiting), table_path, cfg)
