@@ -32,6 +32,13 @@ def test_sessions(spark, name):
     assert from_frame(identify_sessions(to_frame(spark, rows + rows[:50]), cfg)) == model(rows, cfg)
 
 
+def test_more_hot_pairs_than_fit_a_local_list(spark, monkeypatch):
+    monkeypatch.setattr("sessionflow.operators.assign.MAX_LOCAL_PAIRS", 2)
+    cfg = CONFIGS["five minutes, split"]
+    rows = random_events(6, cfg)
+    assert from_frame(identify_sessions(to_frame(spark, rows), cfg)) == model(rows, cfg)
+
+
 @pytest.mark.parametrize("split_rows", [10, 10_000])
 def test_activity(spark, split_rows):
     cfg = SessionConfig(300, split_rows=split_rows)
