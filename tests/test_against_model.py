@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from model import from_frame, model, random_events, to_frame
+from model import START, from_frame, model, random_events, to_frame
 
 from sessionflow import SessionConfig
 from sessionflow.operators import (
@@ -99,6 +99,25 @@ def test_table_equals_recomputation_after_each_batch(spark, name):
     assert from_frame(read_session_table(spark, path)) == before
 
 
+@pytest.mark.parametrize("split_rows", [5, 10_000])
+def test_long_session_is_renamed_beyond_the_dates_read(spark, split_rows):
+    """A late event joins a session to an earlier one. Its rows on later dates, some of them on
+    dates the batch does not reach, and another late event in it follow."""
+    cfg = SessionConfig(10800, split_rows=split_rows)
+    hour, base = 3600, int(START.timestamp())
+    earlier = [("u", "a", base + 20 * hour, "p"), ("u", "b", base + 21 * hour, "p")]
+    later = [("u", "abd"[i % 3], base + 26 * hour + i * hour, "p") for i in range(120)]
+    bridge = [("u", "c", base + 23 * hour + 1800, "p")]
+    inside = [("u", "d", base + 26 * hour + 100 * hour + 60, "p")]
+    path = new_work_path(spark, "table")
+    process_batch(spark, to_frame(spark, earlier + later), path, cfg)
+    assert len(set(from_frame(read_session_table(spark, path)).values())) == 2
+    process_batch(spark, to_frame(spark, bridge + inside), path, cfg)
+    found = from_frame(read_session_table(spark, path))
+    assert set(found.values()) == {f"u#p#{base + 20 * hour}"}
+    assert found == model(earlier + later + bridge + inside, cfg)
+
+
 def test_session_gaps(spark):
     """No session has a longer break than the timeout between user actions."""
     cfg = SessionConfig(300)
