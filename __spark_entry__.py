@@ -41,6 +41,14 @@ from sessionflow.sources import (
 )
 from sessionflow.streaming import session_windows, start_session_stream
 
+try:
+    import corpus_pipeline
+    import sessionflow.llm.queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in {"corpus_pipeline", "sessionflow.llm", "sessionflow.llm.queries"}:
+        raise
+    corpus_pipeline = llm_queries = None
+
 ACTIONS = ("click", "purchase", "view")
 CUT = "2024-01-20"
 LATE_DAYS = 20
@@ -301,7 +309,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    if llm_queries is None:
+        return dict(QUERIES)
+    return QUERIES | llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 # --- the same in SQL ------------------------------------------------------------------------
@@ -362,6 +372,15 @@ def bounds_sql(name: str, prefix: str, source: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    found = session_sql()
+    if llm_queries is not None:
+        found |= llm_queries.SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def session_sql() -> dict[str, str]:
     all_rows = sessions_sql("final", "true")
     stored = sessions_sql("stored", f"arrival_date <= date '{CUT}'")
     late = sessions_sql("late", f"arrival_date > date '{CUT}'")
