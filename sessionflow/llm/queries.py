@@ -4,17 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, simhash
+from . import bpe, quality_rules, simhash
 from .store import stored
 
 
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN
+    ids = bpe.encoded(table(spark, sf_dir, "documents"), path, pattern)
+    return bpe.digests(bpe.decoded(ids, path, pattern))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = quality_rules.Rules()
     measured = stored(
@@ -39,6 +49,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op9_simhash": op9_simhash,
 }
