@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, simhash, substring_dedup
+from . import bpe, decontaminate, quality_rules, simhash, substring_dedup
 from .store import stored
 
 
@@ -48,6 +48,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
+    "op8_decontaminate": op8_decontaminate,
     "op9_simhash": op9_simhash,
 }
 
