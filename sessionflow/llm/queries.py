@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality_rules, simhash, substring_dedup
+from . import bpe, decontaminate, html_extract, quality_rules, simhash, substring_dedup
 from .store import stored
 
 
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extracted(pages, html_extract.trained(pages))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN
     ids = bpe.encoded(table(spark, sf_dir, "documents"), path, pattern)
@@ -61,6 +66,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_extract": op2_html_extract,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
