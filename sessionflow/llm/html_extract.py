@@ -268,13 +268,11 @@ def labels_by_semantics(page: Page) -> list[int] | None:
 
 
 def with_enclosing(page: Page, label: list[int]) -> list[int]:
+    """Labels in which whatever encloses a part of the article is part of it."""
     found = label.copy()
     for n in range(len(label) - 1, 0, -1):
-        if found[n] and label[n]:
-            up = page.parent[n]
-            while up >= 0 and not found[up] and page.tag[up] in ("html", "body", "div", "section"):
-                found[up] = 1
-                up = page.parent[up]
+        if found[n]:
+            found[page.parent[n]] = 1
     found[0] = 1
     return found
 
@@ -313,6 +311,7 @@ class TreeModel:
             sums = [sum(a[y] for a in amounts.values()) for y in (0, 1)]
             for value, a in amounts.items():
                 weight = 1.0 if value in PRIOR else WEIGHT[group]
+                weight = 0.0 if value == "cue=none" else weight  # no hint is no evidence
                 emission[value] = tuple((a[y] / sums[y]) ** weight for y in (0, 1))
         edge = []
         for y in (0, 1):
