@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_extract, quality_rules, simhash, substring_dedup
+from . import (
+    bpe,
+    decontaminate,
+    html_extract,
+    licenses,
+    quality_rules,
+    simhash,
+    substring_dedup,
+)
 from .store import stored
 
 
@@ -19,6 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_extract.extracted(pages, html_extract.trained(pages))
@@ -66,6 +78,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_html_extract": op2_html_extract,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
