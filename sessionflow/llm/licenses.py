@@ -30,7 +30,9 @@ from .store import stored
 
 #: What stands between words, before letters are lowered. Fixed value.
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-THRESHOLD = 0.9
+#: Share of a template's words that a block must have; short templates must be there in full.
+THRESHOLD = 0.8
+SHORT = 10
 
 
 @dataclass(frozen=True)
@@ -50,7 +52,7 @@ class Template:
     @property
     def needed(self) -> int:
         size = len(self.tokens)
-        return size if self.base else math.ceil(THRESHOLD * size - 1e-9)
+        return size if self.base or size <= SHORT else math.ceil(THRESHOLD * size - 1e-9)
 
 
 #: The base phrases, and wordings of common license notices.
