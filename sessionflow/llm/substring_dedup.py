@@ -35,7 +35,8 @@ from .recompression import anchors
 
 WIDTH = 20
 ROUNDS = 2
-BUCKET_ROWS = 500_000
+BUCKET_BYTES = 24 << 20
+LEAST_BUCKETS = 16
 FLUSH_ROWS = 1_000_000
 FIRST_ID = -(1 << 63)
 PACKED = "bucket int, settled boolean, n long, columns binary"
@@ -56,8 +57,10 @@ def unpack(blob: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(-1, 8, n).transpose(0, 2, 1)).view(np.int64)[:, :, 0]
 
 
-def packed_rows(columns: list[np.ndarray], bucket: np.ndarray, settled: bool) -> pa.RecordBatch:
-    order = np.lexsort((columns[-2], bucket))  # documents together compress well
+def packed_rows(
+    columns: np.ndarray, doc: np.ndarray, bucket: np.ndarray, settled: bool
+) -> pa.RecordBatch:
+    order = np.lexsort((doc, bucket))  # documents together compress well
     columns, bucket = [c[order] for c in columns], bucket[order]
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
     pieces = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
@@ -72,20 +75,26 @@ def packed_rows(columns: list[np.ndarray], bucket: np.ndarray, settled: bool) ->
     )
 
 
-def by_document(doc: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """One row (d, places) for each document: its rows of ``columns``, as 64-bit numbers."""
-    order = np.argsort(doc, kind="stable")
-    doc = doc[order]
-    cuts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1], [True]])) if len(doc) else []
-    table = np.stack(columns, axis=1)[order] if len(doc) else None
-    pieces = list(zip(cuts[:-1], cuts[1:]))
-    return pa.record_batch(
-        [
-            pa.array([int(doc[a]) for a, _ in pieces], pa.int64()),
-            pa.array([pack(list(np.ascontiguousarray(table[a:b].T))) for a, b in pieces], pa.binary()),
-        ],
-        names=["d", "places"],
+def by_document(table: np.ndarray) -> pa.RecordBatch:
+    """One row (d, places) for each document in the columns (document, place, number); ``places``
+    are its pairs of the other two, as 32-bit numbers."""
+    table = table[:, np.argsort(table[0], kind="stable")]
+    doc = table[0]
+    cuts = np.flatnonzero(np.diff(doc, prepend=doc[:1] - 1))
+    pairs = np.ascontiguousarray(table[1:].T.astype(np.uint32))
+    offsets = (np.append(cuts, len(doc)) * 8).astype(np.int32)
+    places = pa.Array.from_buffers(
+        pa.binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(pairs)]
     )
+    return pa.record_batch([pa.array(doc[cuts]), places], names=["d", "places"])
+
+
+def places_of(w: Words, places: list[list[bytes] | None]) -> tuple[np.ndarray, ...]:
+    """(text, place, number) of all places of the texts of ``w``."""
+    joined = [b"".join(p) if p else b"" for p in places[w.rows]]
+    text = np.repeat(np.arange(len(joined)), [len(x) // 8 for x in joined])
+    pairs = np.frombuffer(b"".join(joined), np.uint32).reshape(-1, 2).astype(np.int64)
+    return text, pairs[:, 0], pairs[:, 1]
 
 
 def of_buckets(
@@ -93,17 +102,16 @@ def of_buckets(
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows by document of every bucket: the settled ones, and those that ``settle`` picks.
 
-    Batches come ordered by bucket. The columns are key..., document, and the places, the number of
-    which the packed columns tell.
+    Batches come ordered by bucket. Settled and picked columns are (document, place, number).
     """
 
     def finish(rows: list[np.ndarray], settled: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         found = list(settled)
         if rows:
             found.append(settle(np.concatenate(rows, axis=1)))
-        if found:
-            table = np.concatenate(found, axis=1)
-            yield by_document(table[0], list(table[1:]))
+        table = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
+        if table.shape[1]:
+            yield by_document(table)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows, settled = None, [], []
@@ -175,12 +183,12 @@ def gathered(pieces: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
 
 
 def sent_and_settled(
-    sent: np.ndarray, keys: np.ndarray, settled: np.ndarray, n_buckets: int
+    sent: np.ndarray, doc: np.ndarray, keys: np.ndarray, settled: np.ndarray, n_buckets: int
 ) -> Iterator[pa.RecordBatch]:
     """Packed rows: those that meet others at their bucket, and those that only pass through."""
-    yield packed_rows(list(sent), buckets_of(sent[0], n_buckets), False)
+    yield packed_rows(sent, doc, buckets_of(sent[0], n_buckets), False)
     if settled.shape[1]:
-        yield packed_rows(list(settled), buckets_of(keys, n_buckets), True)
+        yield packed_rows(settled, settled[0], buckets_of(keys, n_buckets), True)
 
 
 def key_rows(width: int, n_buckets: int) -> Callable:
@@ -200,7 +208,10 @@ def key_rows(width: int, n_buckets: int) -> Callable:
         for table in gathered(pieces(batches)):
             table, new = sorted_with_new(table, 1)
             twice = twice_or_more(new)
-            yield from sent_and_settled(table[:, new], table[0, twice], table[1:, twice], n_buckets)
+            sent = table[:, new]
+            yield from sent_and_settled(
+                sent, sent[1], table[0, twice], table[1:, twice], n_buckets
+            )
 
     return of_batches
 
@@ -218,15 +229,6 @@ def keys_twice(columns: np.ndarray) -> np.ndarray:
     return columns[1:, twice_or_more(new)]
 
 
-def ranges(places: list[bytes] | None, numbers: int) -> np.ndarray:
-    """The rows of all packed places of a document."""
-    found = [np.empty((numbers, 0), np.int64)]
-    for blob in places or []:
-        size = zstandard.get_frame_parameters(blob).content_size
-        found.append(unpack(blob, size // (8 * numbers)))
-    return np.concatenate(found, axis=1)
-
-
 def window_rows(width: int, n_buckets: int) -> Callable:
     """Packed (hash, second hash, document, start) of candidate windows. Of windows that a batch has
     several times the first is sent; the others are settled as repeats."""
@@ -236,25 +238,26 @@ def window_rows(width: int, n_buckets: int) -> Callable:
             ids = batch["d"].to_numpy()
             places = batch["candidates"].to_pylist()
             for w in words_of(batch["text"], SPACE, False):
-                for k, row in enumerate(range(w.rows.start, w.rows.stop)):
-                    if places[row] is None:
-                        continue
-                    start, count = ranges(places[row], 2)
-                    n = max(0, int(w.first[k + 1] - w.first[k]) - width + 1)
-                    change = np.zeros(n + 1, np.int64)  # a version may be shorter than another
-                    np.add.at(change, np.minimum(start, n), 1)
-                    np.add.at(change, np.minimum(start + count, n), -1)
-                    at = np.flatnonzero(np.cumsum(change)[:n] > 0)
-                    one, two = window_hashes(w, at + w.first[k], width)
-                    yield np.stack(
-                        [one.view(np.int64), two.view(np.int64), np.full(len(at), ids[row]), at]
-                    )
+                text, start, count = places_of(w, places)
+                end = np.maximum(w.first[1:] - width + 1, w.first[:-1])[text]
+                start = w.first[text] + start
+                change = np.zeros(len(w.hashes) + 1, np.int64)  # a version may be shorter
+                np.add.at(change, np.minimum(start, end), 1)
+                np.add.at(change, np.minimum(start + count, end), -1)
+                at = np.flatnonzero(np.cumsum(change) > 0)
+                one, two = window_hashes(w, at, width)
+                text = np.searchsorted(w.first, at, "right") - 1
+                yield np.stack(
+                    [one.view(np.int64), two.view(np.int64), ids[w.rows][text], at - w.first[text]]
+                )
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(pieces(batches)):
             table, new, again = first_and_again(table)
-            settled = table[:, again]
-            yield from sent_and_settled(table[:, new], settled[0], settled[[2, 3, 1]], n_buckets)
+            sent, settled = table[:, new], table[:, again]
+            yield from sent_and_settled(
+                sent, sent[2], settled[0], settled[[2, 3, 1]], n_buckets
+            )
 
     return of_batches
 
@@ -283,11 +286,8 @@ def shuffled(rows: DataFrame, n_buckets: int) -> DataFrame:
 def with_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` (columns d, text and others) with ``repeats``: packed (start, second hash) of each
     repeated window of the document, as an array of binaries, or NULL."""
-    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    n_buckets = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), size // (32 * BUCKET_ROWS) + 1
-    )
+    n_buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
     candidates = (
         shuffled(docs.select("d", "text").mapInArrow(key_rows(width, n_buckets), PACKED), n_buckets)
         .mapInArrow(of_buckets(keys_twice), "d long, places binary")
@@ -304,17 +304,25 @@ def with_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.join(found, "d", "left")
 
 
-def removed_mask(w: Words, k: int, places: list[bytes], width: int) -> np.ndarray:
-    """Which words of text ``k`` of ``w`` a repeated window covers."""
-    n = int(w.first[k + 1] - w.first[k])
-    start, check = ranges(places, 2)
-    use = start <= n - width
-    start, check = start[use], check[use]
-    own = window_hashes(w, start + w.first[k], width)[1].view(np.int64) == check
-    cover = np.zeros(n + 1, np.int64)
-    np.add.at(cover, start[own], 1)
-    np.add.at(cover, start[own] + width, -1)
-    return np.cumsum(cover)[:n] > 0
+def removed_mask(w: Words, places: list[list[bytes] | None], width: int) -> np.ndarray:
+    """Which words of ``w`` a repeated window covers."""
+    text, start, check = places_of(w, places)
+    use = start <= np.diff(w.first)[text] - width
+    at, check = (w.first[text] + start)[use], check[use]
+    at = at[window_hashes(w, at, width)[1].view(np.int64) == check]
+    cover = np.zeros(len(w.hashes) + 1, np.int64)
+    np.add.at(cover, at, 1)
+    np.add.at(cover, at + width, -1)
+    return np.cumsum(cover)[:-1] > 0
+
+
+def kept_text(w: Words, k: int, mask: np.ndarray, text: bytes) -> bytes:
+    """Words of text ``k`` that stay, joined by one space."""
+    words = text.split()
+    gone = mask[w.first[k] : w.first[k + 1]]
+    if gone.any():
+        words = [words[i] for i in np.flatnonzero(~gone).tolist()]
+    return b" ".join(words)
 
 
 def numbered(doc_id: Column) -> Column:
@@ -328,19 +336,16 @@ def kept_words(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = batch["repeats"].to_pylist()
+            texts = batch["text"].cast(pa.binary()).to_pylist()
             counts, removed, kept = [], [], []
             for w in words_of(batch["text"], SPACE, False):
-                for k, row in enumerate(range(w.rows.start, w.rows.stop)):
-                    words = batch["text"][row].as_buffer()
-                    words = words.to_pybytes().split() if words else []
-                    counts.append(len(words))
-                    gone = 0
-                    if places[row] is not None:
-                        mask = removed_mask(w, k, places[row], width)
-                        gone = int(mask.sum())
-                        words = [words[i] for i in np.flatnonzero(~mask).tolist()]
-                    removed.append(gone)
-                    kept.append(b" ".join(words))
+                mask = removed_mask(w, places, width)
+                covered = np.concatenate([[0], np.cumsum(mask)])[w.first]
+                counts += np.diff(w.first).tolist()
+                removed += np.diff(covered).tolist()
+                kept += [
+                    kept_text(w, k, mask, text or b"") for k, text in enumerate(texts[w.rows])
+                ]
             yield pa.record_batch(
                 [
                     batch["d"],
@@ -367,18 +372,16 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = batch["repeats"].to_pylist()
-            texts = batch["text"].to_pylist()
+            texts = batch["text"].cast(pa.binary()).to_pylist()
             for w in words_of(batch["text"], SPACE, False):
-                for k, row in enumerate(range(w.rows.start, w.rows.stop)):
-                    if places[row] is None:
-                        continue
-                    mask = removed_mask(w, k, places[row], width)
-                    if mask.any():
-                        words = texts[row].encode().split()
-                        kept = [words[i] for i in np.flatnonzero(~mask).tolist()]
-                        texts[row] = b" ".join(kept).decode()
+                mask = removed_mask(w, places, width)
+                covered = np.diff(np.concatenate([[0], np.cumsum(mask)])[w.first])
+                for k in np.flatnonzero(covered).tolist():
+                    row = w.rows.start + k
+                    texts[row] = kept_text(w, k, mask, texts[row])
             yield pa.record_batch(
-                [pa.array(texts, pa.string()), batch["rest"]], names=["text", "rest"]
+                [pa.array(texts, pa.binary()).cast(pa.string()), batch["rest"]],
+                names=["text", "rest"],
             )
 
     others = [c for c in docs.columns if c != "text"]
