@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionflow.sources import new_work_path
+
 from . import (
+    bitplane,
     bpe,
     decontaminate,
     html_extract,
@@ -20,6 +23,7 @@ from . import (
 from .store import stored
 
 
+WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -65,6 +69,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bitplane(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_work_path(spark, "ids")
+    files = bitplane.written(
+        table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_TOKENIZER)
+    )
+    return bitplane.read_back(spark, path, files)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -83,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_bitplane": op7_bitplane,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash": op9_simhash,
 }
