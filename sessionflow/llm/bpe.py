@@ -46,6 +46,7 @@ class ByteBpe:
         self.core = tiktoken.Encoding(
             "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )._core_bpe
+        self.spaced = {rank for token, rank in ranks.items() if token[:1] == b" "}
         self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
@@ -53,6 +54,10 @@ class ByteBpe:
         self.pieces = regex.compile(inside.replace(r"\s", f"[{WHITE}]"))
         self.leaf = leaf
 
+    def begins_word(self, token: int) -> bool:
+        """Whether a token begins with a space."""
+        return token in self.spaced
+
     # --- encoding ---------------------------------------------------------------------------
 
     def encode(self, text: str) -> np.ndarray:

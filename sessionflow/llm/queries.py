@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sessionflow.sources import new_work_path
 
 from . import (
+    attention_lm,
     bitplane,
     bpe,
     decontaminate,
@@ -89,6 +90,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.lm_scores(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(BYTE_RANKS),
+        public_tokenizers.PATTERN,
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_extract": op2_html_extract,
@@ -98,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bitplane": op7_bitplane,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash": op9_simhash,
+    "op10_attention_lm": op10_attention_lm,
 }
 
 SQL: dict[str, str] = {}

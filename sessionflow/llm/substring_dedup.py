@@ -26,11 +26,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import SPACE, Words, range_hashes, words_of
+from .packed import buckets_of, pack, unpack
 from .recompression import anchors
 
 WIDTH = 20
@@ -45,18 +45,6 @@ PACKED = "bucket int, settled boolean, n long, columns binary"
 # --- packed columns -------------------------------------------------------------------------
 
 
-def pack(columns: list[np.ndarray]) -> bytes:
-    """Byte planes of 64-bit columns, compressed; planes of small numbers are nearly free."""
-    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8).T) for c in columns]
-    return zstandard.ZstdCompressor(level=1).compress(np.concatenate(planes).tobytes())
-
-
-def unpack(blob: bytes, n: int) -> np.ndarray:
-    """The 64-bit columns, one per row of the result."""
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    return np.ascontiguousarray(planes.reshape(-1, 8, n).transpose(0, 2, 1)).view(np.int64)[:, :, 0]
-
-
 def packed_rows(
     columns: np.ndarray, doc: np.ndarray, bucket: np.ndarray, settled: bool
 ) -> pa.RecordBatch:
@@ -165,10 +153,6 @@ def window_hashes(w: Words, starts: np.ndarray, width: int) -> tuple[np.ndarray,
     )
 
 
-def buckets_of(keys: np.ndarray, n: int) -> np.ndarray:
-    return ((keys.view(np.uint64) >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
-
-
 def gathered(pieces: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
     """Tables of columns, joined until they have FLUSH_ROWS rows."""
     waiting, rows = [], 0
