@@ -17,6 +17,7 @@ from . import (
     decontaminate,
     html_extract,
     licenses,
+    nbsvm,
     quality_rules,
     simhash,
     substring_dedup,
@@ -64,6 +65,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return nbsvm.scored(docs, nbsvm.trained(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.kept_words(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extract": op2_html_extract,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op5_nbsvm": op5_nbsvm,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_bitplane": op7_bitplane,
     "op8_decontaminate": op8_decontaminate,
