@@ -8,6 +8,7 @@ events are sparse, so sessions break after six hours by default.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from sessionflow import SessionConfig
-from sessionflow.functions import epoch, is_user_action, utc_date, whole_seconds
+from sessionflow.functions import epoch, is_user_action, utc_date, zoneless_seconds
 from sessionflow.operators import (
     adopted_rows,
     batch_stats,
@@ -33,6 +34,7 @@ from sessionflow.operators import (
 )
 from sessionflow.operators.sessionize import distinct_events
 from sessionflow.plans import process_batch, run_batch
+from sessionflow.schema import EVENT_KEY
 from sessionflow.sources import (
     new_work_path,
     normalize_events,
@@ -50,8 +52,9 @@ except ModuleNotFoundError as missing:
     corpus_pipeline = llm_queries = None
 
 ACTIONS = ("click", "purchase", "view")
+NULLED_EVENT = "signup"
 CUT = "2024-01-20"
-LATE_DAYS = 20
+LATE_DAYS = 5
 CONFIG = SessionConfig(timeout_secs=21600, user_actions=ACTIONS)
 CONFIG_300S = SessionConfig(timeout_secs=300, user_actions=ACTIONS)
 CONFIG_NO_CUTOFF = SessionConfig(timeout_secs=21600, user_actions=ACTIONS, idle_cutoff=False)
@@ -62,8 +65,7 @@ CONFIG_NO_CUTOFF = SessionConfig(timeout_secs=21600, user_actions=ACTIONS, idle_
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events with the date on which they arrive."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    happened = whole_seconds("ts")
+    happened = F.timestamp_seconds(zoneless_seconds("ts"))
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "user_id",
         F.col("event_type").alias("event_id"),
@@ -186,6 +188,14 @@ def adopted_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_seconds(rows)
 
 
+def adopted_rows_null_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where one product event has no event id."""
+    late = late_events(spark, sf_dir).withColumn(
+        "event_id", F.nullif("event_id", F.lit(NULLED_EVENT))
+    )
+    return with_seconds(adopted_rows(late, stored_sessions(spark, sf_dir), CONFIG))
+
+
 def reconciled(cfg: SessionConfig) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         existing = stored_sessions(spark, sf_dir, cfg)
@@ -198,17 +208,57 @@ def table_rows(spark: SparkSession, path: str) -> DataFrame:
     return with_seconds(read_session_table(spark, path, LongType()))
 
 
-def upserted(replays: int) -> Callable[[SparkSession, str], DataFrame]:
+def upserted(
+    replays: int, cfg: SessionConfig = CONFIG
+) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = new_work_path(spark, "table")
-        process_batch(spark, stored_events(spark, sf_dir), path, CONFIG)
+        process_batch(spark, stored_events(spark, sf_dir), path, cfg)
         for _ in range(1 + replays):
-            process_batch(spark, late_events(spark, sf_dir), path, CONFIG)
+            process_batch(spark, late_events(spark, sf_dir), path, cfg)
         return table_rows(spark, path)
 
     return query
 
 
+def upsert_keeps_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that only the files of one product have, after a batch into all products."""
+    path = new_work_path(spark, "table")
+    rows = identify_sessions(stored_events(spark, sf_dir), CONFIG)
+    noted = rows.where("product_code = 'P0'").withColumn(
+        "note", F.concat("event_id", F.lit("!"))
+    )
+    for part in (noted, rows.where("product_code <> 'P0'")):
+        part.write.mode("append").partitionBy("product_code", "event_date").parquet(path)
+    process_batch(spark, late_events(spark, sf_dir), path, CONFIG)
+    return table_rows(spark, path)
+
+
+def decision_agrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New and stored sessions that touch each other and nothing else: the id by the rule of the
+    pair, and the id that reconciliation gives the rows of the new session."""
+    late, existing = late_events(spark, sf_dir), stored_sessions(spark, sf_dir)
+    new = identify_sessions(late, CONFIG)
+    pair = ["user_id", "product_code"]
+    decided = overlap_decision(new, existing, CONFIG).where("existing_session_id is not null")
+    alone = decided
+    for side in ("new_session_id", "existing_session_id"):
+        once = decided.groupBy(*pair, side).agg(F.count(F.lit(1)).alias("n")).where("n = 1")
+        alone = alone.join(once.drop("n"), [*pair, side], "left_semi")
+    final = reconcile_sessions(late, existing, CONFIG)
+    ids = (
+        new.where("session_id is not null")
+        .select(*EVENT_KEY, F.col("session_id").alias("new_session_id"))
+        .join(final.select(*EVENT_KEY, "session_id"), EVENT_KEY)
+        .where(is_user_action(CONFIG))
+        .groupBy(*pair, "new_session_id")
+        .agg(F.min("session_id").alias("reconciled_id"), F.max("session_id").alias("last_id"))
+    )
+    return alone.join(ids, [*pair, "new_session_id"]).select(
+        *pair, "new_session_id", "final_session_id", "reconciled_id", "last_id"
+    )
+
+
 def batch_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     existing = stored_sessions(spark, sf_dir)
     return batch_stats(reconcile_sessions(late_events(spark, sf_dir), existing, CONFIG))
@@ -255,8 +305,11 @@ def session_windows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions a stream has closed when all files are read: those before the watermark."""
     raw, closed = new_work_path(spark, "raw"), new_work_path(spark, "closed")
-    write_batches(spark, sf_dir, raw)
-    events = stream_events(spark, raw, max_files_per_trigger=1, user_type=LongType())
+    # Files of one batch are in no order of time, so one trigger reads the whole first batch.
+    stored_events(spark, sf_dir).write.parquet(raw)
+    files = len(spark.read.parquet(raw).inputFiles())
+    late_events(spark, sf_dir).write.mode("append").parquet(raw)
+    events = stream_events(spark, raw, max_files_per_trigger=files, user_type=LongType())
     (
         session_windows(events, CONFIG, LATE_DAYS)
         .writeStream.outputMode("append")
@@ -290,12 +343,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "changed_new_ids": changed_new_ids,
     "changed_existing_ids": changed_existing_ids,
     "adopted_rows": adopted_rows_query,
+    "adopted_rows_null_event": adopted_rows_null_event,
+    "decision_agrees": decision_agrees,
     "reconciled_rows": reconciled(CONFIG),
     "reconciled_rows_300s": reconciled(CONFIG_300S),
     "reconciled_rows_no_cutoff": reconciled(CONFIG_NO_CUTOFF),
     "batch_stats": batch_stats_query,
     "upserted_table": upserted(replays=0),
+    "upserted_table_no_cutoff": upserted(replays=0, cfg=CONFIG_NO_CUTOFF),
     "upsert_replay": upserted(replays=1),
+    "upsert_keeps_columns": upsert_keeps_columns,
     "batch_files_table": batch_files_table,
     "stream_upserted_table": stream_upserted_table,
     "session_windows": session_windows_query,
@@ -305,7 +362,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: sessions of each user."""
-    return sessions_by_user_query(spark, "/root/testdata/sf0.001")
+    return sessions_by_user_query(spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -384,6 +441,7 @@ def session_sql() -> dict[str, str]:
     all_rows = sessions_sql("final", "true")
     stored = sessions_sql("stored", f"arrival_date <= date '{CUT}'")
     late = sessions_sql("late", f"arrival_date > date '{CUT}'")
+    actions_list = ", ".join(f"'{a}'" for a in ACTIONS)
 
     def with_ctes(*ctes: str, select: str) -> str:
         return "with " + ",".join([EVENTS_SQL, *ctes]) + "\n" + select
@@ -415,8 +473,8 @@ reconciled as (
     pairs = [
         late,
         stored,
-        bounds_sql("n", "new", "late"),
-        bounds_sql("x", "existing", "stored"),
+        bounds_sql("n", "new", f"late where event_id in ({actions_list})"),
+        bounds_sql("x", "existing", f"stored where event_id in ({actions_list})"),
         """
 pairs as (
   select n.user_id, n.product_code, new_session_id, new_session_min_time,
@@ -429,7 +487,7 @@ pairs as (
   where new_session_id is not null and existing_session_id is not null
 )""",
     ]
-    decision = """
+    decided_ctes = """
 , decided as (
   select n.user_id, n.product_code, n.new_session_id, n.new_session_min_time,
          n.new_session_max_time, existing_session_id, existing_session_min_time,
@@ -450,13 +508,37 @@ flags as (
            as overlaps_existing_session,
          coalesce(new_session_min_time < existing_session_min_time, false) as is_earlier_start
   from decided
-)
+),
+decision as (
 select *,
        case when (overlaps_existing_session or precedes_existing_session) and is_earlier_start
             then new_session_id
             when overlaps_existing_session or extends_existing_session then existing_session_id
             else new_session_id end as final_session_id
-from flags"""
+from flags
+)"""
+    decision = decided_ctes + " select * from decision"
+    agrees = (
+        decided_ctes
+        + f""",
+touching as (
+  select *, count(*) over (partition by user_id, product_code, new_session_id) as n_new,
+         count(*) over (partition by user_id, product_code, existing_session_id) as n_existing
+  from decision where existing_session_id is not null
+),
+ids as (
+  select l.user_id, l.product_code, l.session_id as new_session_id,
+         min(f.session_id) as reconciled_id, max(f.session_id) as last_id
+  from late l join final f using ({EVENT_COLUMNS})
+  where l.session_id is not null and l.event_id in ({actions_list})
+  group by l.user_id, l.product_code, l.session_id
+)
+select t.user_id, t.product_code, t.new_session_id, final_session_id, reconciled_id, last_id
+from touching t join ids i
+  on t.user_id = i.user_id and t.product_code = i.product_code
+ and t.new_session_id = i.new_session_id
+where n_new = 1 and n_existing = 1"""
+    )
     touched_dates = f"""
 late_dates as (
   select distinct product_code, {DATE_SQL} as d from raw where arrival_date > date '{CUT}'
@@ -490,7 +572,7 @@ islands as (
 ),
 windows as (
   select user_id, product_code, min(t) as session_start, max(t) + 21600 as session_end,
-         count(*) as actions
+         count(distinct (event_id, t)) as actions
   from islands group by user_id, product_code, island
 )""",
         select="",
@@ -554,7 +636,27 @@ where o.session_id is null and f.session_id is not null""",
         "reconciled_rows_no_cutoff": reconciled_sql(cutoff=False) + "select * from reconciled",
         "batch_stats": reconciled_sql()
         + "select count(*) as events, count(distinct session_id) as sessions from reconciled",
+        "adopted_rows_null_event": with_ctes(
+            sessions_sql("final", "true"),
+            late,
+            select=f"""
+select f.user_id, f.product_code, nullif(f.event_id, '{NULLED_EVENT}') as event_id, f.t,
+       f.session_id, f.event_date
+from final f join late o using ({EVENT_COLUMNS})
+where o.session_id is null and f.session_id is not null""",
+        ),
+        "decision_agrees": with_ctes(all_rows, *pairs, select="").rstrip() + agrees,
         "upserted_table": whole_table,
+        "upserted_table_no_cutoff": with_ctes(
+            sessions_sql("final", "true", cutoff=False), select="select * from final"
+        ),
+        "upsert_keeps_columns": with_ctes(
+            all_rows,
+            stored,
+            select=f"""
+select f.*, case when s.t is not null and f.product_code = 'P0' then f.event_id || '!' end as note
+from final f left join stored s using ({EVENT_COLUMNS})""",
+        ),
         "upsert_replay": whole_table,
         "batch_files_table": whole_table,
         "stream_upserted_table": whole_table,

@@ -7,6 +7,7 @@ from sessionflow.functions.expressions import (
     utc_date,
     whole_seconds,
     widened_dates,
+    zoneless_seconds,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "utc_date",
     "whole_seconds",
     "widened_dates",
+    "zoneless_seconds",
 ]

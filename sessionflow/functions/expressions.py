@@ -18,6 +18,17 @@ def whole_seconds(ts: Column | str) -> Column:
     return F.timestamp_seconds(epoch(ts))
 
 
+def zoneless_seconds(ts: Column | str) -> Column:
+    """Whole seconds since 1970 of a timestamp without a time zone, read as UTC."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return (
+        F.unix_date(F.to_date(ts)) * F.lit(DAY_SECS).cast("bigint")
+        + F.hour(ts) * 3600
+        + F.minute(ts) * 60
+        + F.second(ts)
+    )
+
+
 def utc_date(t: Column) -> Column:
     """Date of an epoch second, whatever the session time zone is."""
     return F.date_from_unix_date(F.floor(t / F.lit(DAY_SECS)).cast("int"))

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionflow.config import SessionConfig
 from sessionflow.functions import epoch, is_user_action, slice_of
 from sessionflow.operators.timeline import carried_state
 from sessionflow.schema import PAIR
+from sessionflow.sources.files import new_work_path
 
 # More hot pairs than this are not put into the plan as local rows.
 MAX_LOCAL_PAIRS = 10_000
+# Rows without a complete key need no window; they are spread over so many lanes.
+NULL_LANES = 1024
 
 
 def hot_pairs(events: DataFrame, cfg: SessionConfig) -> DataFrame | None:
     """Pairs with more than ``split_rows`` events, or None if there is none.
 
     Runs a count by pair, which shuffles one row per pair and task. The list is fetched with
-    a check of its length and broadcast; a longer list stays distributed and is joined as Spark
-    sees fit.
+    a check of its length and broadcast; a longer list is written once and read where it is
+    needed, joined as Spark sees fit.
     """
     hot = (
         events.groupBy(*PAIR)
@@ -31,17 +34,35 @@ def hot_pairs(events: DataFrame, cfg: SessionConfig) -> DataFrame | None:
     if not found:
         return None
     if len(found) > MAX_LOCAL_PAIRS:
-        return hot
+        spark = events.sparkSession
+        path = new_work_path(spark, "hot-pairs")
+        hot.write.parquet(path)
+        return spark.read.schema(hot.schema).parquet(path)
     return F.broadcast(events.sparkSession.createDataFrame(found, hot.schema))
 
 
+def lane() -> Column:
+    """0, or for rows with a NULL user, product or time one of many numbers, fixed by the row.
+
+    Such rows belong to no session. Without lanes all rows of, say, the NULL user would meet
+    in one task.
+    """
+    incomplete = (
+        F.col("user_id").isNull() | F.col("product_code").isNull() | F.col("timestamp").isNull()
+    )
+    own = F.pmod(F.xxhash64("user_id", "product_code", "timestamp", "event_id"), F.lit(NULL_LANES))
+    return F.when(incomplete, own + 1).otherwise(F.lit(0).cast("bigint"))
+
+
 def without_copies(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Distinct rows, laid out for the windows of ``assign_sessions``.
 
     Without a hot pair one shuffle by pair serves both. A hot pair may be hot because of copies,
     so these are collapsed map-side first, and the shuffle by slice comes after.
     """
-    return rows.repartition(*PAIR).distinct() if hot is None else rows.distinct()
+    if hot is not None:
+        return rows.distinct()
+    return rows.withColumn("lane", lane()).repartition(*PAIR, "lane").distinct()
 
 
 def as_items(events: DataFrame, cfg: SessionConfig) -> DataFrame:
@@ -77,7 +98,10 @@ def assign_sessions(
     ``with_copies`` may give the items as they were before copies were removed. The state
     before a slice is the same and needs no shuffle of events when taken from there.
     """
-    keys = list(PAIR)
+    keys = [*PAIR, "lane"]
+    if "lane" not in items.columns:
+        own_lane = lane() if "timestamp" in items.columns else F.lit(0).cast("bigint")
+        items = items.withColumn("lane", own_lane)
     before_t = before = None
     if hot is not None:
         named = hot.select(*(F.col(c).alias(f"hot_{c}") for c in PAIR))
@@ -95,8 +119,10 @@ def assign_sessions(
         items = items.join(named.withColumn("hot", F.lit(True)), same_pair, "left").withColumn(
             "slice", F.when(F.col("hot"), slice_of(F.col("t"), cfg.slice_secs))
         )
+        items = items.drop("hot", *(f"hot_{c}" for c in PAIR)).join(
+            state, [*PAIR, "slice"], "left"
+        )
         keys.append("slice")
-        items = items.drop("hot", *(f"hot_{c}" for c in PAIR)).join(state, keys, "left")
         before_t, before = F.col("before_t"), F.col("before")
 
     by_time = Window.partitionBy(*keys).orderBy("t")
@@ -140,5 +166,5 @@ def assign_sessions(
     }
     if with_stored:
         result["start_id"] = start["stored_id"]
-    kept = [c for c in items.columns if c not in ("slice", "before_t", "before")]
+    kept = [c for c in items.columns if c not in ("lane", "slice", "before_t", "before")]
     return found.select(*kept, *(column.alias(name) for name, column in result.items()))

@@ -59,16 +59,27 @@ def in_partitions(
     """Rows in the given (product_code, event_date) partitions.
 
     A literal filter prunes directories when the plan is made. A list too long for that
-    becomes a date range, read as a scalar subquery before the scan, and a semi join.
+    becomes one range of dates for each product, and a semi join.
     """
     condition = partition_filter(partitions, max_literals)
     if condition is not None:
         return rows.where(condition)
     wanted = partitions.select(*PARTITIONS).distinct()
-    first = wanted.agg(F.min("event_date")).scalar()
-    last = wanted.agg(F.max("event_date")).scalar()
-    in_range = F.col("event_date").between(first, last) | F.col("event_date").isNull()
-    kept = rows.where(in_range).alias("kept")
+    by_product = wanted.groupBy("product_code").agg(
+        F.min("event_date").alias("first"),
+        F.max("event_date").alias("last"),
+        F.count_if(F.col("event_date").isNull()).alias("undated"),
+    )
+    ranges = by_product.limit(MAX_PARTITION_LITERALS + 1).collect()
+    if len(ranges) <= MAX_PARTITION_LITERALS:
+        condition = F.lit(False)
+        for product, first, last, undated in ranges:
+            days = F.col("event_date").isNull() if undated else F.lit(False)
+            if first is not None:
+                days = days | F.col("event_date").between(F.lit(first), F.lit(last))
+            condition = condition | (F.col("product_code").eqNullSafe(F.lit(product)) & days)
+        rows = rows.where(condition)
+    kept = rows.alias("kept")
     wanted = wanted.alias("wanted")
     return kept.join(
         wanted,
@@ -78,6 +89,32 @@ def in_partitions(
     )
 
 
+def from_dates(
+    rows: DataFrame, first_dates: DataFrame, max_literals: int = MAX_PARTITION_LITERALS
+) -> DataFrame:
+    """Rows of the products in ``first_dates``, from the ``event_date`` there on (NULL: all).
+
+    One literal range for each product, so that partitions of others are not read. More products
+    than ``max_literals`` are joined.
+    """
+    found = first_dates.limit(max_literals + 1).collect()
+    if len(found) > max_literals:
+        named = first_dates.select(
+            F.col("product_code").alias("wanted"), F.col("event_date").alias("first_date")
+        )
+        return rows.join(
+            named,
+            F.col("product_code").eqNullSafe(F.col("wanted"))
+            & (F.col("first_date").isNull() | (F.col("event_date") >= F.col("first_date"))),
+            "left_semi",
+        )
+    condition = F.lit(False)
+    for product, day in found:
+        same = F.col("product_code").eqNullSafe(F.lit(product))
+        condition = condition | (same if day is None else same & (F.col("event_date") >= F.lit(day)))
+    return rows.where(condition)
+
+
 def of_batch_pairs(rows: DataFrame, new_events: DataFrame) -> DataFrame:
     """Rows of the (user, product) pairs of the batch.
 

@@ -8,7 +8,7 @@ shuffled, and are read again only for sessions that do get another id.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ from sessionflow.operators.assign import (
 from sessionflow.operators.candidates import of_batch_pairs
 from sessionflow.operators.sessionize import identify_sessions
 from sessionflow.schema import EVENT_KEY, PAIR, SESSION_COLUMNS
+from sessionflow.sources.files import new_work_path
 
 NEW, LOOSE, STORED = "new", "loose", "stored"
 
@@ -63,6 +64,13 @@ class Reconciliation:
     existing: DataFrame
     cfg: SessionConfig
 
+    def written(self) -> Reconciliation:
+        """The same with ``assigned`` written and read back."""
+        spark = self.assigned.sparkSession
+        path = new_work_path(spark, "assigned")
+        self.assigned.write.parquet(path)
+        return replace(self, assigned=spark.read.schema(self.assigned.schema).parquet(path))
+
     def labelled_rows(self) -> DataFrame:
         """The batch with its final ids, and stored rows that get a session only now (or
         another one, without idle cutoff)."""
@@ -121,8 +129,9 @@ def plan_reconciliation(
         .agg(F.min(epoch("timestamp")).alias("t"), F.max(epoch("timestamp")).alias("hi")),
         new_events,
     )
-    all_loose = existing.where(_is_loose(cfg)).select(*EVENT_KEY, "session_id")
-    loose = of_batch_pairs(all_loose, new_events)
+    loose = of_batch_pairs(
+        existing.where(_is_loose(cfg)).select(*EVENT_KEY, "session_id"), new_events
+    )
     no_id = F.lit(None).cast("string")
 
     events = (
@@ -143,7 +152,7 @@ def plan_reconciliation(
         F.col("session_id").alias("stored_id"),
     )
     items = as_items(events, cfg).withColumn("stored_id", no_id).unionByName(intervals)
-    hot = hot_pairs(new_events.select(*PAIR).unionByName(all_loose.select(*PAIR)), cfg)
+    hot = hot_pairs(new_events.select(*PAIR).unionByName(loose.select(*PAIR)), cfg)
     assigned = assign_sessions(
         without_copies(items, hot), cfg, hot, with_stored=True, with_copies=items
     ).select(
@@ -168,8 +177,11 @@ def reconcile_sessions(
     Sessions that become connected are merged, over any number of links, and the id at the
     earliest user action survives. ``stored`` may name a wider set of rows in which the rows
     of renamed sessions are looked up.
+
+    The assignment is needed for the batch and for the stored sessions; it is written once under
+    ``spark.checkpoint.dir`` and read twice.
     """
-    return plan_reconciliation(new_events, existing, cfg).rows(stored)
+    return plan_reconciliation(new_events, existing, cfg).written().rows(stored)
 
 
 def _alone_and_final(
@@ -178,7 +190,11 @@ def _alone_and_final(
     """Each event of the batch with its id in the batch alone and its final id."""
     alone = identify_sessions(new_events, cfg).withColumnRenamed("session_id", "alone_id")
     final = plan_reconciliation(new_events, existing, cfg).assigned.where(F.col("kind") == NEW)
-    return alone.join(final.select(*EVENT_KEY, "session_id"), EVENT_KEY)
+    final = final.select(*(F.col(c).alias(f"its_{c}") for c in EVENT_KEY), "session_id")
+    same_event = F.lit(True)
+    for c in EVENT_KEY:
+        same_event = same_event & F.col(c).eqNullSafe(F.col(f"its_{c}"))
+    return alone.join(final, same_event).drop(*(f"its_{c}" for c in EVENT_KEY))
 
 
 def new_id_changes(

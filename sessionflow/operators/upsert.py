@@ -2,41 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sessionflow.operators.candidates import MAX_PARTITION_LITERALS, in_partitions
 from sessionflow.schema import EVENT_KEY, PARTITIONS, SESSION_COLUMNS
+from sessionflow.sources.files import (
+    delete_path,
+    new_work_path,
+    read_text,
+    remove_file,
+    write_text,
+)
 from sessionflow.sources.table import read_session_table
 
+# Spark ignores files whose names begin with an underscore.
+PENDING = "_pending_upsert"
+
 
 def one_row_per_event(rows: DataFrame) -> DataFrame:
     """Rows without repeated event keys. Copies that disagree keep the smallest id."""
     return rows.groupBy(*EVENT_KEY, "event_date").agg(F.min("session_id").alias("session_id"))
 
 
+def _same_event(left: str, right: str) -> Column:
+    condition = F.lit(True)
+    for key in EVENT_KEY:
+        condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+    return condition
+
+
 def merged_rows(target: DataFrame, source: DataFrame) -> DataFrame:
     """``target`` with the ids of ``source``; source rows without a match are added.
 
-    A matched row keeps all its other columns. The keys are unique, so the join has no hot key.
+    A matched row keeps all its other columns. Both joins keep the rows of the large side where
+    they are if Spark can broadcast ``source``: rows to insert are those whose keys an inner
+    join with the keys of the target does not find.
     """
     extra = [c for c in target.columns if c not in SESSION_COLUMNS]
-    old = target.withColumn("in_target", F.lit(True)).alias("old")
+    old = target.alias("old")
     new = source.select(*SESSION_COLUMNS).withColumn("in_source", F.lit(True)).alias("new")
-    same_event = F.lit(True)
-    for key in EVENT_KEY:
-        same_event = same_event & F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}"))
-
-    def either(name: str):
-        return F.when(F.col("in_target"), F.col(f"old.{name}")).otherwise(F.col(f"new.{name}"))
-
-    return old.join(new, same_event, "full_outer").select(
-        *(either(c).alias(c) for c in [*EVENT_KEY, "event_date"]),
+    updated = old.join(new, _same_event("old", "new"), "left").select(
+        *(F.col(f"old.{c}") for c in [*EVENT_KEY, "event_date"]),
         F.when(F.col("in_source"), F.col("new.session_id"))
         .otherwise(F.col("old.session_id"))
         .alias("session_id"),
         *(F.col(f"old.{c}") for c in extra),
     )
+    keys = source.select(*EVENT_KEY).alias("new")
+    found = (
+        target.select(*EVENT_KEY)
+        .alias("old")
+        .join(keys, _same_event("old", "new"))
+        .select(*(F.col(f"new.{c}") for c in EVENT_KEY))
+        .alias("found")
+    )
+    added = source.select(*SESSION_COLUMNS).alias("new").join(
+        found, _same_event("new", "found"), "left_anti"
+    )
+    return updated.unionByName(added, allowMissingColumns=True)
 
 
 def write_partitions(rows: DataFrame, table_path: str) -> None:
@@ -53,36 +78,62 @@ def write_partitions(rows: DataFrame, table_path: str) -> None:
     )
 
 
+def pending_marker(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}/{PENDING}"
+
+
+def commit_partitions(spark: SparkSession, rows: DataFrame, table_path: str) -> None:
+    """Replace the partitions that occur in ``rows`` in a way that a crash cannot leave halfway.
+
+    The rows are written to the shared folder first. Then a marker in the table names that
+    folder, and the partitions are replaced from it. Whoever finds the marker replaces them again.
+    """
+    staged = new_work_path(spark, "commit")
+    rows.write.parquet(staged)
+    write_text(spark, pending_marker(table_path), staged)
+    finish_commit(spark, table_path)
+
+
+def finish_commit(spark: SparkSession, table_path: str) -> bool:
+    """Finish the commit that a marker names; whether there was one. Called before every batch."""
+    staged = read_text(spark, pending_marker(table_path))
+    if staged is None:
+        return False
+    write_partitions(spark.read.parquet(staged), table_path)
+    remove_file(spark, pending_marker(table_path))
+    delete_path(spark, staged)
+    return True
+
+
 def upsert_sessions(
     spark: SparkSession,
     rows: DataFrame,
     table_path: str,
     unique_keys: bool = False,
     max_literals: int = MAX_PARTITION_LITERALS,
+    schema: StructType | None = None,
 ) -> None:
     """Matched events get the new ``session_id``, other rows are inserted.
 
-    Copy-on-write of the touched partitions: a task that is lost is run again from the old
-    files, which stay until the job commits. One writer at a time. ``rows`` must not depend on
+    Copy-on-write of the touched partitions, one writer at a time. ``rows`` must not depend on
     the table itself; write them to a table first if they do. ``unique_keys`` says that no event
-    key is repeated in them, which saves an aggregation.
+    key is repeated in them, which saves an aggregation; ``schema`` is the table's, if known.
     """
+    finish_commit(spark, table_path)
     source = rows.select(*SESSION_COLUMNS) if unique_keys else one_row_per_event(rows)
-    target = read_session_table(spark, table_path, rows.schema["user_id"].dataType)
+    target = read_session_table(spark, table_path, rows.schema["user_id"].dataType, schema)
     if target is not None:
         target = in_partitions(target, rows.select(*PARTITIONS), max_literals)
         source = merged_rows(target, source)
-    write_partitions(source, table_path)
+    commit_partitions(spark, source, table_path)
 
 
-def merge_into_table(rows: DataFrame, table_name: str) -> None:
+def merge_into_table(rows: DataFrame, table_name: str, unique_keys: bool = False) -> None:
     """The same upsert as one atomic MERGE, for catalog tables with row-level operations."""
-    source = one_row_per_event(rows).alias("source")
-    same_event = F.lit(True)
-    for key in EVENT_KEY:
-        same_event = same_event & F.col(f"{table_name}.{key}").eqNullSafe(F.col(f"source.{key}"))
+    source = rows.select(*SESSION_COLUMNS) if unique_keys else one_row_per_event(rows)
     (
-        source.mergeInto(table_name, same_event)
+        source.alias("source")
+        .mergeInto(table_name, _same_event(table_name, "source"))
         .whenMatched()
         .update({"session_id": F.col("source.session_id")})
         .whenNotMatched()

@@ -6,15 +6,27 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sessionflow.config import SessionConfig
-from sessionflow.operators.candidates import in_partitions, of_batch_pairs, prune_dates
+from sessionflow.operators.candidates import (
+    from_dates,
+    in_partitions,
+    of_batch_pairs,
+    prune_dates,
+)
 from sessionflow.operators.reconcile import plan_reconciliation
 from sessionflow.operators.sessionize import identify_sessions
 from sessionflow.operators.stats import batch_stats
-from sessionflow.operators.upsert import upsert_sessions, write_partitions
+from sessionflow.operators.upsert import finish_commit, merge_into_table, upsert_sessions
 from sessionflow.sources.events import read_events
-from sessionflow.sources.files import archive_files, delete_path, new_work_path, path_exists
+from sessionflow.sources.files import (
+    archive_files,
+    decoded_path,
+    delete_path,
+    new_work_path,
+    path_exists,
+)
 from sessionflow.sources.table import read_session_table
 
 
@@ -31,42 +43,65 @@ def _stats(rows: DataFrame) -> BatchStats:
 def process_batch(
     spark: SparkSession,
     new_events: DataFrame,
-    table_path: str,
+    table_path: str | None = None,
     cfg: SessionConfig = SessionConfig(),
+    table_name: str | None = None,
 ) -> BatchStats:
     """Sessionize a batch of normalized events, reconcile it with the table and upsert it.
 
-    Applying the same batch again changes nothing. Results that are used more than once are
-    written under ``spark.checkpoint.dir``: they outlive lost executors, cut the lineage to
-    the table that is about to be rewritten, and have a known size.
-    """
-    if new_events.isEmpty():
-        return BatchStats(0, 0)
-    user_type = new_events.schema["user_id"].dataType
-    stored = read_session_table(spark, table_path, user_type)
-    if stored is None:
-        write_partitions(identify_sessions(new_events, cfg), table_path)
-        return _stats(read_session_table(spark, table_path, user_type))
+    The table is a Parquet folder, or with ``table_name`` a catalog table with row-level operations,
+    which is updated by one MERGE. Applying the same batch again changes nothing.
 
+    The batch is read once, and results that are used more than once are written, all under
+    ``spark.checkpoint.dir``: they outlive lost executors, cut the lineage to the table that is
+    about to be rewritten, and have a known size.
+    """
+    if (table_path is None) == (table_name is None):
+        raise ValueError("give either table_path or table_name")
     work = new_work_path(spark, "batch")
 
     def written(rows: DataFrame, name: str) -> DataFrame:
         rows.write.parquet(f"{work}/{name}")
         return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
+    def upsert(rows: DataFrame, schema: StructType | None) -> None:
+        if table_name is not None:
+            merge_into_table(rows, table_name, unique_keys=True)
+        else:
+            upsert_sessions(spark, rows, table_path, unique_keys=True, schema=schema)
+
     try:
+        batch = written(new_events, "events")
+        if batch.isEmpty():
+            return BatchStats(0, 0)
+        if table_name is not None:
+            stored = spark.table(table_name)
+        else:
+            finish_commit(spark, table_path)
+            stored = read_session_table(spark, table_path, batch.schema["user_id"].dataType)
+        if stored is None:
+            rows = written(identify_sessions(batch, cfg), "rows")
+            upsert(rows, None)
+            return _stats(rows)
+        dates = written(prune_dates(batch, cfg), "dates")
+        first_dates = dates.groupBy("product_code").agg(F.min("event_date").alias("event_date"))
         if cfg.idle_cutoff:
-            dates = prune_dates(new_events, cfg)
             near = in_partitions(stored, dates)
-            # A renamed session starts near the batch, but may go on after it.
-            later = stored.where(F.col("event_date") >= dates.agg(F.min("event_date")).scalar())
         else:
-            near = later = of_batch_pairs(stored, new_events)
-        plan = plan_reconciliation(new_events, near, cfg)
+            # An id reaches any later event, so all dates of the batch's products count.
+            near = of_batch_pairs(
+                from_dates(stored, first_dates.withColumn("event_date", F.lit(None).cast("date"))),
+                batch,
+            )
+        plan = plan_reconciliation(batch, near, cfg)
         plan = replace(plan, assigned=written(plan.assigned, "assigned"))
         changes = written(plan.existing_id_changes(), "changes")
-        rows = written(plan.rows(later, changes), "rows")
-        upsert_sessions(spark, rows, table_path, unique_keys=True)
+        # A renamed session starts near the batch, but may go on after it.
+        renamed = first_dates.join(
+            changes.select("product_code").distinct(), "product_code", "left_semi"
+        )
+        rows = written(plan.rows(from_dates(stored, renamed), changes), "rows")
+        upsert(rows, stored.schema)
         return _stats(rows)
     finally:
         delete_path(spark, work)
@@ -75,19 +110,21 @@ def process_batch(
 def run_batch(
     spark: SparkSession,
     raw_path: str,
-    table_path: str,
+    table_path: str | None = None,
     archive_dir: str | None = None,
     cfg: SessionConfig = SessionConfig(),
+    table_name: str | None = None,
 ) -> BatchStats:
     """Process all files that wait in ``raw_path``, then move them to ``archive_dir``.
 
-    No waiting file, or no folder yet, is no work. The table is written before the files move, and a crash in
-    between only means that the batch is applied once more.
+    No waiting file, or no folder yet, is no work. The table is written before the files move,
+    and a crash in between only means that the batch is applied once more.
     """
-    waiting = read_events(spark, raw_path).inputFiles() if path_exists(spark, raw_path) else []
+    found = read_events(spark, raw_path).inputFiles() if path_exists(spark, raw_path) else []
+    waiting = [decoded_path(name) for name in found]
     if not waiting:
         return BatchStats(0, 0)
-    stats = process_batch(spark, read_events(spark, waiting), table_path, cfg)
+    stats = process_batch(spark, read_events(spark, waiting), table_path, cfg, table_name)
     if archive_dir is not None:
         archive_files(spark, waiting, archive_dir)
     return stats

@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from sessionflow.functions import whole_seconds
+from sessionflow.functions import whole_seconds, zoneless_seconds
 from sessionflow.schema import raw_schema
 
 
 def normalize_events(events: DataFrame) -> DataFrame:
-    """The four raw columns, with timestamps cut to whole seconds."""
+    """The four raw columns, with timestamps cut to whole seconds. Timestamps without a time zone are
+    UTC, whatever the zone of the session is."""
+    if events.schema["timestamp"].dataType.typeName() == "timestamp_ntz":
+        seconds = F.timestamp_seconds(zoneless_seconds("timestamp"))
+    else:
+        seconds = whole_seconds("timestamp")
     return events.select(
         "user_id",
         "event_id",
-        whole_seconds("timestamp").alias("timestamp"),
+        seconds.alias("timestamp"),
         "product_code",
     )
 

@@ -1,13 +1,21 @@
-"""Paths and file moves through the Hadoop file system API, so any storage Spark reads works."""
+"""Paths and file moves through the Hadoop file system API, so any storage Spark reads works.
+
+The only module that uses the driver's JVM directly, which a Spark Connect session does not offer.
+"""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
+MOVES_AT_ONCE = 16
+
 
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -30,10 +38,15 @@ def _local_work_dir() -> str:
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is not set (a local test session) a temporary folder is taken.
+    Only a local session (tests) may do without: it takes a temporary folder. Executors of a
+    cluster do not see each other's local folders, so there it is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_work_dir()
-    return shared.rstrip("/")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_work_dir()
 
 
 def new_work_path(spark: SparkSession, name: str) -> str:
@@ -48,18 +61,69 @@ def delete_path(spark: SparkSession, path: str) -> None:
     _file_system(spark, target).delete(target, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, or None where there is none."""
+    if not path_exists(spark, path):
+        return None
+    target = _path(spark, path)
+    stream = _file_system(spark, target).open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under another name first, so that it is there as a whole or not at all."""
+    own, target = _path(spark, f"{path}.{uuid.uuid4().hex}"), _path(spark, path)
+    fs = _file_system(spark, target)
+    stream = fs.create(own, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(own, target):
+        raise OSError(f"could not write {path}")
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    target = _path(spark, path)
+    _file_system(spark, target).delete(target, False)
+
+
+def decoded_path(name: str) -> str:
+    """The path that ``inputFiles`` names as a URI, with spaces and other characters as they are."""
+    return unquote(name)
+
+
 def archive_files(spark: SparkSession, files: list[str], archive_dir: str) -> int:
-    """Move consumed files away. A file that is gone already was moved by an earlier try."""
-    target_dir = _path(spark, archive_dir)
-    fs = _file_system(spark, target_dir)
-    fs.mkdirs(target_dir)
-    moved = 0
-    for name in files:
-        source = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+    """Move consumed files away, several at a time; also to another file system.
+
+    ``files`` are paths, not URIs. A file that is gone already was moved by an earlier try. A file
+    of the name of an archived one gets a name of its own.
+    """
+    folder = _path(spark, archive_dir)
+    _file_system(spark, folder).mkdirs(folder)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+
+    def move(name: str) -> int:
+        source = hadoop.Path(name)
+        fs = source.getFileSystem(conf)
         if not fs.exists(source):
-            continue
-        target = spark._jvm.org.apache.hadoop.fs.Path(target_dir, source.getName())
-        if not fs.rename(source, target):
+            return 0
+        target = hadoop.Path(folder, source.getName())
+        there = target.getFileSystem(conf)
+        if there.exists(target):
+            stem, dot, ending = source.getName().rpartition(".")
+            target = hadoop.Path(folder, f"{stem or ending}-{uuid.uuid4().hex}{dot}{ending if stem else ''}")
+        if fs.getUri().equals(there.getUri()):
+            moved = fs.rename(source, target)
+        else:
+            moved = hadoop.FileUtil.copy(fs, source, there, target, True, conf)
+        if not moved:
             raise OSError(f"could not move {name} to {archive_dir}")
-        moved += 1
-    return moved
+        return 1
+
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        return sum(pool.map(move, files))

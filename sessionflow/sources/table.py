@@ -11,17 +11,24 @@ from sessionflow.sources.files import path_exists
 
 
 def read_session_table(
-    spark: SparkSession, path: str, user_type: DataType | None = None
+    spark: SparkSession,
+    path: str,
+    user_type: DataType | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame | None:
     """The stored sessions, or None where the path is absent. Any other problem is an error.
 
     The types of the partition columns are given and not guessed from directory names, so a
-    product code such as ``007`` stays a string. Columns beyond the known six are kept.
+    product code such as ``007`` stays a string. Columns beyond the known six are kept, also
+    those that only some files have: without a ``schema`` the footers of all files are merged,
+    by a Spark job. Whoever reads the table again passes the schema of the first read.
     """
     if not path_exists(spark, path):
         return None
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     try:
-        stored = spark.read.parquet(path).schema
+        stored = spark.read.option("mergeSchema", "true").parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise

@@ -11,22 +11,24 @@ from sessionflow.config import SessionConfig
 from sessionflow.functions import epoch, user_action_filter
 from sessionflow.operators.assign import assign_sessions, hot_pairs
 from sessionflow.plans.pipeline import process_batch
-from sessionflow.schema import PAIR
+from sessionflow.schema import EVENT_KEY, PAIR
 from sessionflow.sources.events import stream_events
 
 
 def start_session_stream(
     spark: SparkSession,
     raw_path: str,
-    table_path: str,
+    table_path: str | None,
     checkpoint: str,
     cfg: SessionConfig = SessionConfig(),
     archive_dir: str | None = None,
     interval: str | None = None,
     max_files_per_trigger: int | None = None,
     user_type: DataType | None = None,
+    table_name: str | None = None,
 ) -> StreamingQuery:
-    """Keep the session table up to date with the files arriving in ``raw_path``.
+    """Keep the session table up to date with the files arriving in ``raw_path``. It is a Parquet
+    folder, or with ``table_name`` a catalog table with row-level operations.
 
     Without ``interval`` ("60 seconds") all waiting files are processed and the query ends.
     The checkpoint remembers consumed files. A batch that is retried after a failure is
@@ -35,7 +37,7 @@ def start_session_stream(
     events = stream_events(spark, raw_path, archive_dir, max_files_per_trigger, user_type)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch.sparkSession, batch, table_path, cfg)
+        process_batch(batch.sparkSession, batch, table_path, cfg, table_name)
 
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     if interval is None:
@@ -49,7 +51,8 @@ def session_windows(
     """Start, end and number of user actions of each session, for batches and streams.
 
     The end is the last action plus the timeout. ``late_days`` is how late events of a stream
-    may be; a session of a stream is final once the watermark has passed its end.
+    may be; a session of a stream is final once the watermark has passed its end. Copies of an
+    event count once; in a stream those that come while the watermark lets them.
     """
     actions = events.where(user_action_filter(cfg)).where(
         "user_id is not null and product_code is not null and timestamp is not null"
@@ -58,6 +61,9 @@ def session_windows(
         return _batch_session_windows(actions, cfg)
     if late_days is not None:
         actions = actions.withWatermark("timestamp", f"{late_days} days")
+        actions = actions.dropDuplicatesWithinWatermark(EVENT_KEY)
+    else:
+        actions = actions.dropDuplicates(EVENT_KEY)
     window = F.session_window("timestamp", f"{cfg.timeout_secs} seconds")
     return (
         actions.groupBy(*PAIR, window.alias("w"))
@@ -77,14 +83,16 @@ def _batch_session_windows(actions: DataFrame, cfg: SessionConfig) -> DataFrame:
     # One shuffle by pair serves the counts and the windows, unless a pair is hot.
     rows = actions.repartition(*PAIR) if hot is None else actions
     items = (
-        rows.groupBy(*PAIR, epoch("timestamp").alias("t"))
-        .agg(F.count(F.lit(1)).alias("copies"))
+        rows.select(*EVENT_KEY)
+        .distinct()
+        .groupBy(*PAIR, epoch("timestamp").alias("t"))
+        .agg(F.count(F.lit(1)).alias("events"))
         .withColumn("hi", F.col("t"))
     )
     return (
         assign_sessions(items, cfg, hot)
         .groupBy(*PAIR, "start_t")
-        .agg(F.max("t").alias("last_t"), F.sum("copies").alias("actions"))
+        .agg(F.max("t").alias("last_t"), F.sum("events").alias("actions"))
         .select(
             *PAIR,
             F.timestamp_seconds("start_t").alias("session_start"),
