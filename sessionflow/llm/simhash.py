@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import free_name
 from .components import connected_components, forest
 from .store import stored
 
@@ -261,10 +262,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows with equal doc_id and text one. A component without any doc_id keeps its rows.
     """
     found = near_components(docs)
+    kept = free_name(docs, "kept_id")
     keep = (
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("kept_id"))
+        .select(F.col("doc_id").alias(kept))
         .distinct()
     )
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col(kept)), "left_semi")
     return rows.dropDuplicates(["doc_id", "text"])
