@@ -161,8 +161,8 @@ def logistic_curve(margin: np.ndarray, labels: np.ndarray) -> tuple[float, float
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, label) of the labelled training rows. Texts without a label are not shuffled far: labels
-    of the training fold alone are joined."""
+    """(text, label) of the labelled training rows. The join shuffles at every size: labels grow with
+    the documents, so they are never broadcast."""
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .where(~held_out(F.col("doc_id")))
@@ -171,7 +171,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     rows = rows.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    return rows.join(known, F.col("doc_id") == F.col("labelled_id")).select("text", "label")
+    same = F.col("doc_id") == F.col("labelled_id")
+    return rows.join(known.hint("shuffle_merge"), same).select("text", "label")
 
 
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,8 +231,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
     ratios = log_count_ratios(counts)
     taken, held, y, z = [], [], [], []
     for label in (0, 1):
-        some = rows.where(F.col("label") == label).orderBy("place").limit(SAMPLE + HELD).collect()
-        features = [np.array(r["features"], np.int64) for r in some]
+        features = sampled(rows.where(F.col("label") == label), SAMPLE + HELD)
         for k, f in enumerate(features):  # every third for the curve
             (held if k % 3 == 2 else taken).append(f)
             (z if k % 3 == 2 else y).append(label)
@@ -247,6 +247,19 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
+def sampled(rows: DataFrame, size: int) -> list[np.ndarray]:
+    """Features of about ``size`` different rows with the least places, never more than twice as many.
+
+    Places are hashes, so a limit on them leaves about that many; only rows below it are compared
+    or leave their tasks. Copies have one place and count once.
+    """
+    n = rows.agg(F.approx_count_distinct("place", 0.02)).head()[0] or 0
+    if n > size:
+        rows = rows.where(F.col("place") < F.lit(-(1 << 63) + (1 << 64) * size // n))
+    some = rows.groupBy("place").agg(F.first("features").alias("features")).limit(2 * size)
+    return [np.array(r["features"], np.int64) for r in sorted(some.collect())]
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
