@@ -22,8 +22,11 @@ from . import (
     simhash,
     substring_dedup,
 )
+from .sql import SQL
 from .store import stored
 
+__all__ = ["QUERIES", "SQL"]
+
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -44,8 +47,7 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN
-    ids = bpe.encoded(table(spark, sf_dir, "documents"), path, pattern)
-    return bpe.digests(bpe.decoded(ids, path, pattern))
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), path, pattern))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,6 +117,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash": op9_simhash,
     "op10_attention_lm": op10_attention_lm,
-}
-
-SQL: dict[str, str] = {}
+}
\ No newline at end of file
