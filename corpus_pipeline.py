@@ -47,7 +47,7 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (unsigned 32-bit, little-endian) and the text decoded from them."""
     path, pattern = public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN
-    rows = bpe.decoded(bpe.encoded(docs, path, pattern), path, pattern)
+    rows = bpe.round_trip(docs, path, pattern)
     return rows.select("doc_id", "n_tokens", "ids", F.decode("decoded", "UTF-8").alias("text"))
 
 

@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 LEAF = 1 << 14
 PIECE_LEAF = 256
+ROWS_AT_ONCE = 256
+ENCODED = "doc_id long, n_tokens long, ids binary"
 #: Characters of the property White_Space, which \\s of the split pattern means. Fixed values.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LAST_CUT = regex.compile(r"(?r)(?<=[\p{L}\p{N}.,;:!?])(?=[ \n])")
@@ -148,12 +150,17 @@ def byte_bpe(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every row; ``ids`` are little-endian unsigned 32-bit numbers."""
+def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what is made of one stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
 
+def encode_batches(path: str, pattern: str):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path, pattern)
-        for batch in batches:
+        for batch in pieces_of(batches):
             ids = [bpe.encode(t or "").astype("<u4") for t in batch["text"].to_pylist()]
             yield pa.record_batch(
                 [
@@ -164,17 +171,13 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 names=["doc_id", "n_tokens", "ids"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(of_batches, "doc_id long, n_tokens long, ids binary")
+    return of_batches
 
 
-def decoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``rows`` of ``encoded`` with ``decoded``, the bytes that the ids stand for. NULL ids: NULL."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-
+def decode_batches(path: str, pattern: str):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path, pattern)
-        for batch in batches:
+        for batch in pieces_of(batches):
             texts = [
                 None if x is None else bpe.decode(np.frombuffer(x, "<u4"))
                 for x in batch["ids"].to_pylist()
@@ -184,7 +187,30 @@ def decoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
                 names=[*batch.schema.names, "decoded"],
             )
 
-    return rows.mapInArrow(of_batches, f"{fields}, decoded binary")
+    return of_batches
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every row; ``ids`` are little-endian unsigned 32-bit numbers."""
+    return texts_of(docs).mapInArrow(encode_batches(path, pattern), ENCODED)
+
+
+def decoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``rows`` of ``encoded`` with ``decoded``, the bytes that the ids stand for. NULL ids: NULL."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(decode_batches(path, pattern), f"{fields}, decoded binary")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``decoded`` of ``encoded``, both in one Python worker of a task."""
+    encode, decode = encode_batches(path, pattern), decode_batches(path, pattern)
+    return texts_of(docs).mapInArrow(
+        lambda batches: decode(encode(batches)), f"{ENCODED}, decoded binary"
+    )
 
 
 def digests(rows: DataFrame) -> DataFrame:

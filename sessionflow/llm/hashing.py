@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15 | 1
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def separators(*ranges: tuple[int, int]) -> np.ndarray:

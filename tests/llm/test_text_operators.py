@@ -51,6 +51,8 @@ def test_bpe_of_documents(spark, reference):
     for docs in inputs(spark):
         rows = bpe.decoded(bpe.encoded(docs, PATH, PATTERN), PATH, PATTERN)
         found = Counter(tuple(r) for r in bpe.digests(rows).collect())
+        rows = bpe.round_trip(docs, PATH, PATTERN)
+        assert found == Counter(tuple(r) for r in bpe.digests(rows).collect())
         expected = Counter()
         for r in docs.select("doc_id", "text").collect():
             text = r.text or ""
