@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sessionflow.llm import bpe, decontaminate, quality_rules, simhash, substring_dedup
 from sessionflow.llm.queries import BYTE_RANKS
-from sessionflow.llm.store import stored
+from sessionflow.llm.store import remove_stored, stored, stored_count
 
 
 def reject_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +64,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of all stages. Each stage's own tables, and its input, are removed when its result
+    is written."""
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mark = stored_count()
     for name, stage in STAGES:
         rows = stored(stage(spark, rows, sf_dir), f"stage-{name}")
+        remove_stored(spark, mark, but_last=True)
     return rows

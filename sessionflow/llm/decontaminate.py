@@ -152,7 +152,7 @@ def with_matches(
         F.array().cast(MATCHES).alias("matches"),
     )
     schema = f"row {rows.schema['row'].dataType.simpleString()}, text string, n_words long, matches {MATCHES}"
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).distinct()
     n_blocks = blocks_of(items, block_bytes)
     for block in range(n_blocks):
         # at most about block_bytes of text, whatever the size of the benchmark

@@ -290,7 +290,14 @@ def test_pipeline_equals_brute_force(spark):
     dirty = {k[0] for k in contaminated(list(texts.items()), items) if k[-1]}
     expected = {i: t for i, t in texts.items() if i not in dirty}
     assert 0 < len(expected) < len(rows)
-    found = corpus_pipeline.run(spark, SF_DIR).collect()
+    import os
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    result = corpus_pipeline.run(spark, SF_DIR)
+    left = [n for n in set(os.listdir(shared)) - before if "hot-anchors" in n or "stage" in n or "labels" in n]
+    assert len(left) == 1 and "stage-byte_bpe" in left[0]
+    found = result.collect()
     assert {r.doc_id: r.text for r in found} == expected and len(found) == len(expected)
     assert all(r.n_tokens == len(r.ids) // 4 for r in found)
 
