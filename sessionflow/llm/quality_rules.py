@@ -12,6 +12,9 @@ of a stratum shows that it rejects no more than the allowed share of them:
   (fixed sequence: no further correction along the grid). Over rules and strata the level is
   divided by the number of such sequences (Bonferroni). The risk is divided by the number of
   rules, so the union of all rules stays within it.
+* All cutoffs of a sequence up to its first failure are certified at once, so any of them may be
+  taken: the one with the greatest difference between the shares of bad and of good documents
+  that it rejects, the mildest of equals. A rule that catches no bad document is not used.
 
 A stratum with too few labels to certify anything keeps what the base rules keep.
 
@@ -57,6 +60,7 @@ RATIOS = {
     "repeats": lambda m: m["n_repeat_words"] / m["n_words"],
     "capitals": lambda m: m["n_capitals"] / m["word_chars"],
     "exclamations": lambda m: m["n_exclamations"] / (m["n_exclamations"] + m["n_words"]),
+    "stutters": lambda m: m["n_stutters"] / m["n_words"],
 }
 
 
@@ -139,6 +143,9 @@ def measures(text: Column) -> Column:
                     repeated_words(w).cast("long").alias("n_repeat_words"),
                     without(t, CAPITALS).cast("long").alias("n_capitals"),
                     without(t, "!").cast("long").alias("n_exclamations"),
+                    F.size(F.filter(w, lambda x, k: x == F.get(w, k - 1)))
+                    .cast("long")
+                    .alias("n_stutters"),
                 ),
             ),
         )
@@ -177,17 +184,25 @@ def binomial_tail(n: Column, k: Column, risk: float) -> Column:
     return F.when(k > risk * n, F.lit(1.0)).otherwise(summed)
 
 
+def from_step_on(counts: str) -> Column:
+    """Sum of the counts (a map by step) from the row's step on."""
+    none = F.lit(0).cast("long")
+    return F.aggregate(
+        numbers(F.col("step"), F.lit(GRID)),
+        none,
+        lambda total, s: total + F.coalesce(F.try_element_at(F.col(counts), s), none),
+    )
+
+
 def certified_cutoffs(measured: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:
-    """(stratum, rule, cutoff): the strictest certified grid step of each stratum and rule.
+    """(stratum, rule, cutoff): the best certified grid step of each stratum and rule.
 
     ``measured`` has doc_id, the stratum column as ``stratum``, and the measures as ``m``.
     """
-    good = (
+    known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .groupBy("doc_id")
-        .agg(F.min("quality").alias("least"))
-        .where("least = 1")
-        .select("doc_id")
+        .agg((F.min("quality") == 1).alias("is_good"))
     )
     steps = F.explode(
         F.array(
@@ -200,10 +215,12 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, rules: Rules) -> D
     # documents that the base rules reject are no false rejections of a cutoff
     histogram = stored(
         measured.where(~base_failed(F.col("m"), rules))
-        .join(good, "doc_id", "left_semi")
-        .select("stratum", steps.alias("r"))
+        .join(known, "doc_id")
+        .select("stratum", "is_good", steps.alias("r"))
         .groupBy("stratum", "r.rule", "r.step")
-        .agg(F.count(F.lit(1)).alias("good")),
+        .agg(
+            F.count_if(F.col("is_good")).alias("good"), F.count_if(~F.col("is_good")).alias("bad")
+        ),
         "quality-histogram",
     )
     sequence = Window.partitionBy("stratum", "rule")
@@ -211,30 +228,25 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, rules: Rules) -> D
         histogram.groupBy("stratum", "rule")
         .agg(
             F.sum("good").alias("n"),
-            F.map_from_entries(F.collect_list(F.struct("step", "good"))).alias("by_step"),
-        )
-        .select("stratum", "rule", "n", "by_step", F.explode(numbers(1, F.lit(GRID))).alias("step"))
-        .withColumn(
-            "k",
-            F.aggregate(
-                numbers(F.col("step"), F.lit(GRID)),
-                F.lit(0).cast("long"),
-                lambda total, s: total
-                + F.coalesce(F.try_element_at(F.col("by_step"), s), F.lit(0).cast("long")),
-            ),
+            F.sum("bad").alias("n_bad"),
+            F.map_from_entries(F.collect_list(F.struct("step", "good"))).alias("good"),
+            F.map_from_entries(F.collect_list(F.struct("step", "bad"))).alias("bad"),
         )
+        .select("*", F.explode(numbers(1, F.lit(GRID))).alias("step"))
+        .withColumns({"k": from_step_on("good"), "k_bad": from_step_on("bad")})
     )
     risk = rules.risk / len(RATIOS)
-    sequences = max(1, histogram.select("stratum", "rule").distinct().count())
+    sequences = max(1, histogram.where("good > 0").select("stratum", "rule").distinct().count())
     judged = tested.withColumn(
         "passed", binomial_tail(F.col("n"), F.col("k"), risk) <= rules.delta / sequences
     )
     mildest_first = sequence.orderBy(F.col("step").desc())
+    benefit = F.col("k_bad") / F.col("n_bad") - F.col("k") / F.col("n")
     return (
         judged.withColumn("so_far", F.min(F.col("passed").cast("int")).over(mildest_first))
-        .where("so_far = 1")
+        .where("so_far = 1 and k_bad > 0 and n > 0")
         .groupBy("stratum", "rule")
-        .agg(F.min("step").alias("cutoff"))
+        .agg(F.max(F.struct(benefit.alias("benefit"), "step"))["step"].alias("cutoff"))
     )
 
 

@@ -140,14 +140,21 @@ by_line as (
   select doc_id, count(*) - count(distinct line) as n_dup_lines, count(distinct line) as n_single_lines
   from line group by doc_id
 ),
+stutter as (
+  select doc_id, count(*) as n_stutters
+  from (select doc_id, w, unnest(range(2, len(w) + 1)) as i from d) where w[i] = w[i - 1]
+  group by doc_id
+),
 m as (
   select doc_id, stratum, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
          length(text) - length(translate(text, '{quality_rules.SYMBOLS}', '')) as n_symbols,
          coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_single_lines, 0) as n_single_lines,
          coalesce(n_repeat_words, 0) as n_repeat_words,
          length(text) - length(translate(text, '{capitals}', '')) as n_capitals,
-         length(text) - length(translate(text, '!', '')) as n_exclamations
+         length(text) - length(translate(text, '!', '')) as n_exclamations,
+         coalesce(n_stutters, 0) as n_stutters
   from d left join repeats using (doc_id) left join by_line using (doc_id)
+         left join stutter using (doc_id)
 ),
 judged as (
   select *, n_words < {rules.min_words} or 100 * n_repeat_words > {rules.max_repeat_percent} * n_words
@@ -167,34 +174,43 @@ ratio as (
     select doc_id, stratum, base_failed, 'capitals', n_capitals, word_chars from judged
     union all
     select doc_id, stratum, base_failed, 'exclamations', n_exclamations, n_exclamations + n_words from judged
+    union all
+    select doc_id, stratum, base_failed, 'stutters', n_stutters, n_words from judged
   )
 ),
-good as (
-  select doc_id from labels where doc_id is not null and quality is not null
-  group by doc_id having min(quality) = 1
+known as (
+  select doc_id, min(quality) = 1 as is_good from labels
+  where doc_id is not null and quality is not null group by doc_id
 ),
 held as (
-  select stratum, rule, step from ratio where not base_failed and doc_id in (select doc_id from good)
+  select stratum, rule, step, count(*) filter (where is_good) as good,
+         count(*) filter (where not is_good) as bad
+  from ratio join known using (doc_id) where not base_failed group by stratum, rule, step
+),
+sequences as (
+  select stratum, rule, cast(sum(good) as bigint) as n, cast(sum(bad) as bigint) as n_bad
+  from held group by stratum, rule
 ),
-sequences as (select stratum, rule, count(*) as n from held group by stratum, rule),
 tested as (
-  select s.stratum, s.rule, s.n, c.step,
-         (select count(*) from held h where h.stratum is not distinct from s.stratum
-            and h.rule = s.rule and h.step >= c.step) as k
-  from sequences s, (select unnest(range(1, {grid + 1})) as step) c
+  select s.stratum, s.rule, s.n, s.n_bad, c.step, cast(coalesce(sum(h.good), 0) as bigint) as k,
+         cast(coalesce(sum(h.bad), 0) as bigint) as k_bad
+  from sequences s cross join (select unnest(range(1, {grid + 1})) as step) c
+  left join held h on h.stratum is not distinct from s.stratum and h.rule = s.rule and h.step >= c.step
+  group by s.stratum, s.rule, s.n, s.n_bad, c.step
 ),
 passed as (
   select *, case when k > {risk!r} * n then false else
     list_sum(list_transform(range(0, k + 1), lambda i: exp(
       lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk!r}) + (n - i) * ln(1 - {risk!r})
-    ))) <= {rules.delta!r} / (select count(*) from sequences) end as ok
+    ))) <= {rules.delta!r} / (select count(*) from sequences where n > 0) end as ok
   from tested
 ),
 cutoffs as (
-  select stratum, rule, min(step) as cutoff
+  select stratum, rule,
+         max({{'benefit': cast(k_bad as double) / n_bad - cast(k as double) / n, 'step': step}}).step as cutoff
   from (select *, bool_and(ok) over (partition by stratum, rule order by step desc
           rows between unbounded preceding and current row) as so_far from passed)
-  where so_far group by stratum, rule
+  where so_far and k_bad > 0 and n > 0 group by stratum, rule
 ),
 rejected as (
   select distinct doc_id from ratio r join cutoffs c
