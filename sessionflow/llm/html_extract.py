@@ -62,9 +62,11 @@ TAGS = frozenset(
 #: part of the article is part of it again.
 PRIOR = {"cue=good": (0.5, 5.0), "cue=bad": (500.0, 0.05)} | {
     f"tag={t}": (30.0, 0.1) for t in ("aside", "button", "footer", "form", "header", "label", "nav")
-}
+} | {f"tag={t}": (0.02, 10.0) for t in ("article", "main")}
 #: Weight of the features: those of text and plain tags are much alike among neighbours.
-WEIGHT = {"tag": 0.4, "cue": 1.0, "size": 0.25, "links": 0.25}
+WEIGHT = {"tag": 0.25, "cue": 1.0, "size": 0.1, "links": 0.5}
+#: No hint is no evidence, and lists and containers are in menus and in articles alike.
+SILENT = frozenset({"cue=none", "tag=div", "tag=li", "tag=ol", "tag=ul"})
 EDGE_PRIOR = ((1.0, 0.001), (1.0, 1.0))
 MARK = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -198,7 +200,7 @@ def parsed(source: str) -> Page:
         if tag == "body" and raw:
             while len(stack) > 1:
                 raw -= page.tag[stack.pop()] in RAW
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
+        if tag in VOID:  # a slash at the end of other tags means nothing in HTML
             continue
         add(tag, m[3])
         stack.append(len(page.tag) - 1)
@@ -311,7 +313,7 @@ class TreeModel:
             sums = [sum(a[y] for a in amounts.values()) for y in (0, 1)]
             for value, a in amounts.items():
                 weight = 1.0 if value in PRIOR else WEIGHT[group]
-                weight = 0.0 if value == "cue=none" else weight  # no hint is no evidence
+                weight = 0.0 if value in SILENT else weight
                 emission[value] = tuple((a[y] / sums[y]) ** weight for y in (0, 1))
         edge = []
         for y in (0, 1):

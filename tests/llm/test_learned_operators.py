@@ -210,6 +210,7 @@ def test_pages_give_their_articles(spark):
         assert (found[p.page_id].text, found[p.page_id].n_chars) == (text, len(text))
 
 
+STORY = "The council met on Tuesday and agreed after a long debate to rebuild the old bridge."
 SITE = """<html><head><title>T</title></head><body><div id="cookie-banner"><p>We use cookies on this site.</p></div>
 <div class="container"><div class="post-content"><h1>Bees &amp; trees</h1><p>Bees live in   trees and
 eat what they find, which is a lot in summer.</p><div class="advert"><p>Buy honey now, it is very cheap today.</p></div>
@@ -231,6 +232,8 @@ def test_other_layouts_and_broken_pages(spark):
         (7, "u", "</div></p>" * 50),
         (8, "u", "<div>" * 3000 + "deep" + "</div>" * 3000),
         (9, "u", "<a href='>'>x</a> 1 < 2 <"),
+        (10, "u", f"<body><ul><li><a href=/>Home</a></li></ul><div><h2>B</h2><p>{STORY}</p><ul><li>one thing</li></ul></div>"),
+        (11, "u", f"<header><h2>Site</h2></header><article><header><h1>H</h1></header><p>{STORY}</p><ul class='comment-list'><li><p>{STORY}</p></li></ul><aside>{STORY}</aside></article>"),
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     model = html_extract.trained(table(spark, LARGER, "pages"))
@@ -243,6 +246,7 @@ def test_other_layouts_and_broken_pages(spark):
     )
     assert text[None] == "One\n\nTwo <b> é x\n\nthree"
     assert [text[k] for k in (2, 3, 4, 5)] == [""] * 4
+    assert text[10] == f"B\n\n{STORY}\n\none thing" and text[11] == f"H\n\n{STORY}"
     assert all(r.n_chars == len(r.text) for r in found)
     # no page at all: the hand-labelled ones remain
     html_extract.trained(pages.limit(0))
