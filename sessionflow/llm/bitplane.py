@@ -181,7 +181,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self._forget()
 
     def _forget(self) -> None:

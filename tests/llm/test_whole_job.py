@@ -1,5 +1,6 @@
 """What must follow the whole input: nothing is learned from a part of it, no case is left out."""
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -8,9 +9,10 @@ import pytest
 from cases import documents
 from pyspark.sql import functions as F
 
-from sessionflow.llm import attention_lm
+from sessionflow.llm import attention_lm, bitplane
 from sessionflow.llm.bpe import byte_bpe
-from sessionflow.llm.queries import BYTE_RANKS
+from sessionflow.llm.queries import BYTE_RANKS, WORD_TOKENIZER
+from sessionflow.sources import new_work_path
 
 
 # --- language model -------------------------------------------------------------------------
@@ -54,3 +56,26 @@ def test_rounds_visit_every_window(count):
     ]
     assert len(np.unique(np.concatenate(rounds))) == count
     assert batch <= attention_lm.BATCH and steps * attention_lm.ROUNDS >= attention_lm.STEPS
+
+
+# --- token files ----------------------------------------------------------------------------
+
+
+def test_added_tokens_are_those_of_whole_texts(spark):
+    import tokenizers
+
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    tokenizer = tokenizers.Tokenizer.from_file(path)
+    end, start = "<|endoftext|>", "<|startoftext|>"
+    texts = [
+        f"a {end} b", f"{start} a", f"a{end}b {start}{end} x{start}", f"\n{end}\t{end}", end,
+        "<|ENDOFTEXT|> <|endof text|> <|endoftext|", f"É{end}é {start} x", f"e{end}́ {end}'s don{end}'t 12{end}3",
+    ]
+    docs = documents(spark, list(enumerate(texts)))
+    target = new_work_path(spark, "ids")
+    files = bitplane.written(docs, target, path)
+    found = {r.doc_id: r for r in bitplane.read_back(spark, target, files).collect()}
+    for k, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, bitplane.END_ID]
+        assert found[k].n_tokens == len(ids)
+        assert found[k].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
