@@ -30,9 +30,12 @@ from pyspark.sql import functions as F
 from .html_pages import LABELLED_PAGES
 
 #: Fixed values of HTML: elements without content, elements whose content is no text of the page,
-#: elements that form blocks, and elements that stop the search for an open paragraph.
+#: elements that leave a head open, elements that form blocks, and elements that stop the search for an open paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math head select".split())
+IN_HEAD = frozenset(
+    "base basefont bgsound head html link meta noframes noscript script style template title".split()
+)
 OPAQUE = frozenset("script style textarea title iframe".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
@@ -138,6 +141,8 @@ def parsed(source: str) -> Page:
             page.blocks.append((at, words))
 
     def say(piece: str) -> None:
+        if page.tag[stack[-1]] == "head" and piece.strip(" \t\n\f\r"):
+            close("head")
         if raw or not piece:
             return
         text.append(piece)
@@ -186,8 +191,10 @@ def parsed(source: str) -> Page:
             if any(page.tag[n] == tag for n in stack[1:]):
                 close(tag)
             continue
-        if tag == "html":
+        if tag == "html" or tag == "head" and len(stack) > 1:
             continue
+        if page.tag[stack[-1]] == "head" and tag not in IN_HEAD:
+            close("head")
         if tag == "br":
             say(" ")
             text.append(" ")

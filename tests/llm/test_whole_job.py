@@ -9,7 +9,7 @@ import pytest
 from cases import documents
 from pyspark.sql import functions as F
 
-from sessionflow.llm import attention_lm, bitplane
+from sessionflow.llm import attention_lm, bitplane, html_extract
 from sessionflow.llm.bpe import byte_bpe
 from sessionflow.llm.queries import BYTE_RANKS, WORD_TOKENIZER
 from sessionflow.sources import new_work_path
@@ -79,3 +79,21 @@ def test_added_tokens_are_those_of_whole_texts(spark):
         ids = [*tokenizer.encode(text, add_special_tokens=False).ids, bitplane.END_ID]
         assert found[k].n_tokens == len(ids)
         assert found[k].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+# --- main text of pages ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "source, texts",
+    [
+        ("<html><head><title>T</title><p>One<p>Two", ["One", "Two"]),
+        ("<head><meta charset=utf-8><link rel=a><style>p {}</style><div>One</div>", ["One"]),
+        ("<head><title>T</title>\n <script>x</script> One <b>more</b>", ["One more"]),
+        ("<head><noscript><p>no</p></noscript><template><p>no</p></template><h1>One</h1>", ["One"]),
+        ("<head><title>T</title></head><body><p>One</p><head><p>Two</p>", ["One", "Two"]),
+        ("<head><title>T</title><body><p>One</p>", ["One"]),
+    ],
+)
+def test_an_open_head_ends_where_the_body_begins(source, texts):
+    assert [words for _, words in html_extract.parsed(source).blocks] == texts
