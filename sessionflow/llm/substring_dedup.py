@@ -16,8 +16,8 @@ passage reaches one task more often than there are batches. The number of bucket
 number of rows, which is counted, so a bucket fits into a task at any size.
 
 Rows with one doc_id are versions of one document: a window that they have at the same start is
-one window, and repeated rows get equal results. NULL doc_ids are one document before all others.
-NULL text has no words.
+one window, and repeated rows get equal results. A row without a doc_id is a document of its own text,
+numbered by a hash of it, before all doc_ids; so only equal texts are versions of one. NULL text has no words.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ BUCKET_BYTES = 24 << 20
 LEAST_BUCKETS = 16
 FLUSH_ROWS = 1_000_000
 FIRST_ID = -(1 << 63)
+#: Numbers for rows without a doc_id, or as many as there are below the least doc_id.
+NULL_ROOM = 1 << 62
 PACKED = "bucket int, settled boolean, n long, columns binary"
 
 
@@ -65,8 +67,9 @@ def packed_rows(
 
 def by_document(table: np.ndarray) -> pa.RecordBatch:
     """One row (d, places) for each document in the columns (document, place, number); ``places``
-    are its pairs of the other two, as 32-bit numbers."""
-    table = table[:, np.argsort(table[0], kind="stable")]
+    are its pairs of the other two, as 32-bit numbers. Versions of a document share their places."""
+    table, new = sorted_with_new(table, len(table))
+    table = table[:, new]
     doc = table[0]
     cuts = np.flatnonzero(np.diff(doc, prepend=doc[:1] - 1))
     pairs = np.ascontiguousarray(table[1:].T.astype(np.uint32))
@@ -309,8 +312,13 @@ def kept_text(w: Words, k: int, mask: np.ndarray, text: bytes) -> bytes:
     return b" ".join(words)
 
 
-def numbered(doc_id: Column) -> Column:
-    return F.coalesce(doc_id.cast("long"), F.lit(FIRST_ID).cast("long")).alias("d")
+def numbered(docs: DataFrame) -> Column:
+    """The document's number: its doc_id, or one fixed by the text that is less than all doc_ids."""
+    doc_id = F.col("doc_id").cast("long")
+    least = docs.agg(F.min(doc_id)).head()[0]
+    room = NULL_ROOM if least is None else max(1, min(NULL_ROOM, least - FIRST_ID))
+    own = F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(room).cast("long"))
+    return F.coalesce(doc_id, F.lit(FIRST_ID).cast("long") + own).alias("d")
 
 
 def kept_words(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -332,20 +340,19 @@ def kept_words(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 ]
             yield pa.record_batch(
                 [
-                    batch["d"],
+                    batch["doc_id"],
                     pa.array(counts, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array(kept, pa.binary()).cast(pa.string()),
                 ],
-                names=["d", "n_words", "n_removed", "kept"],
+                names=["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    rows = docs.select(numbered(F.col("doc_id")), F.col("text").cast("string").alias("text"))
-    found = with_repeats(rows, width).mapInArrow(
-        of_batches, "d long, n_words long, n_removed long, kept string"
+    rows = docs.select(
+        numbered(docs), F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")
     )
-    return found.select(
-        F.nullif("d", F.lit(FIRST_ID)).alias("doc_id"), "n_words", "n_removed", "kept"
+    return with_repeats(rows, width).mapInArrow(
+        of_batches, "doc_id long, n_words long, n_removed long, kept string"
     )
 
 
@@ -370,7 +377,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(
-        numbered(F.col("doc_id")),
+        numbered(docs),
         F.col("text").cast("string").alias("text"),
         F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest"),
     )

@@ -6,10 +6,10 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from cases import documents
+from cases import PASSAGE, documents
 from pyspark.sql import functions as F
 
-from sessionflow.llm import attention_lm, bitplane, html_extract
+from sessionflow.llm import attention_lm, bitplane, html_extract, substring_dedup
 from sessionflow.llm.bpe import byte_bpe
 from sessionflow.llm.queries import BYTE_RANKS, WORD_TOKENIZER
 from sessionflow.sources import new_work_path
@@ -97,3 +97,22 @@ def test_added_tokens_are_those_of_whole_texts(spark):
 )
 def test_an_open_head_ends_where_the_body_begins(source, texts):
     assert [words for _, words in html_extract.parsed(source).blocks] == texts
+
+
+# --- repeated passages ----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("least", [3, -(1 << 62) - 9, -(1 << 63) + 1_000_000])
+def test_rows_without_an_id_are_documents_of_their_own(spark, least):
+    rows = [(None, f"{PASSAGE} end {i}") for i in range(9)] + [(None, f"{PASSAGE} end 0")]
+    docs = documents(spark, [*rows, (least, f"own {PASSAGE}"), (None, None)])
+    found = substring_dedup.kept_words(docs).collect()
+    assert [r.n_removed for r in found if r.doc_id == least] == [60]
+    null = Counter((r.n_words, r.n_removed, r.kept) for r in found if r.doc_id is None and r.n_words)
+    texts = {k for k in null if k[1] == 0}
+    assert len(texts) == 1 and len(null) == 9 and sum(null.values()) == 10
+    assert sorted(null.values()) == [1] * 8 + [2]  # equal texts get equal results
+    assert all(k[1] >= 60 for k in null if k not in texts)
+    done = substring_dedup.without_repeats(docs)
+    assert done.columns == docs.columns and done.where("doc_id is null").count() == 11
+    assert done.where(F.col("text").contains("passage30")).count() in (1, 2)
