@@ -119,7 +119,8 @@ def longest(window: np.ndarray, place: np.ndarray, tests: TestSuffixes) -> list[
     for item, diagonal, at, k in rows:
         last = found[-1] if found else None
         if last and last["key"] == (item, diagonal) and at <= last["doc_start"] + last["n_words"]:
-            last["n_words"] = at + int(tests.length[k]) - last["doc_start"]
+            end = at + int(tests.length[k]) - last["doc_start"]
+            last["n_words"] = max(last["n_words"], end)  # rows of one item_id differ in length
         else:
             found.append(
                 {

@@ -4,12 +4,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from cases import PASSAGE, documents
 from pyspark.sql import functions as F
 
-from sessionflow.llm import attention_lm, bitplane, html_extract, substring_dedup
+from sessionflow.llm import attention_lm, bitplane, decontaminate, html_extract, substring_dedup
 from sessionflow.llm.bpe import byte_bpe
 from sessionflow.llm.queries import BYTE_RANKS, WORD_TOKENIZER
 from sessionflow.sources import new_work_path
@@ -116,3 +117,17 @@ def test_rows_without_an_id_are_documents_of_their_own(spark, least):
     done = substring_dedup.without_repeats(docs)
     assert done.columns == docs.columns and done.where("doc_id is null").count() == 11
     assert done.where(F.col("text").contains("passage30")).count() in (1, 2)
+
+
+# --- decontamination ------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("item_id", [5, None])
+@pytest.mark.parametrize("turn", [1, -1])
+def test_a_short_row_of_an_item_does_not_shorten_its_match(item_id, turn):
+    words = " ".join(f"w{i}" for i in range(10))
+    tests = decontaminate.TestSuffixes([(item_id, words), (item_id, "w0 w1 w2")][::turn], 10)
+    (w,) = decontaminate.words_of(pa.array([f"x {words} y"]), decontaminate.NO_WORD, True)
+    matches = decontaminate.longest(*tests.search(w), tests)
+    assert [(m["doc_start"], m["n_words"]) for m in matches] == [(1, 10)]
+    assert decontaminate.n_hit(matches) == 10
