@@ -15,6 +15,7 @@ from . import (
     bitplane,
     bpe,
     decontaminate,
+    filter_audit,
     html_extract,
     licenses,
     nbsvm,
@@ -106,6 +107,12 @@ def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_extract": op2_html_extract,
@@ -117,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash": op9_simhash,
     "op10_attention_lm": op10_attention_lm,
+    "op12_filter_audit": op12_filter_audit,
 }
\ No newline at end of file

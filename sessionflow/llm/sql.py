@@ -223,9 +223,65 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
 from judged"""
 
 
+FILTER_AUDIT = f"""
+with d as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+         {words("text", SPACED_WORD, False)} as w
+  from documents
+),
+flag as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good,
+         max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels where doc_id is not null group by doc_id
+),
+failing as (
+  select d.doc_id, part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+         case when len(w) < 50 then 'A' else '' end
+         || case when 100 * len(list_distinct(w)) < 65 * len(w) then 'B' else '' end
+         || case when 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text) then 'C' else '' end
+         || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+         || case when doc_id > min(doc_id) over (partition by text) then 'E' else '' end as fails
+  from d left join flag using (doc_id)
+),
+counted as (
+  select part, fails, sum(good) as good, sum(toxic) as toxic, count(*) as n from failing group by part, fails
+),
+letter as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from letter a, letter b, letter c, letter d, letter e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+place as (
+  select part, fails, good, toxic, n, filter_order, step, filter_order[step] as own,
+         fails <> '' and contains(fails, filter_order[step]) as fails_own,
+         len(regexp_extract_all(fails, '[' || filter_order[1:step] || ']')) > 0 as gone_after,
+         step > 1 and len(regexp_extract_all(fails, '[' || filter_order[1:greatest(step - 1, 1)] || ']')) > 0
+           as gone_before
+  from counted, orders, (select unnest(range(1, 6)) as step)
+),
+report as (
+  select part, filter_order, step, own,
+         coalesce(sum(n) filter (where not gone_after), 0) as kept,
+         coalesce(sum(n) filter (where gone_after and not gone_before), 0) as removed,
+         coalesce(sum(n) filter (where fails_own and gone_before), 0) as redundant,
+         coalesce(sum(n) filter (where fails = own), 0) as unique_fails,
+         coalesce(sum(good) filter (where gone_after and not gone_before), 0) as good_lost,
+         coalesce(sum(toxic) filter (where gone_after and not gone_before), 0) as toxic_lost
+  from place group by part, filter_order, step, own
+)
+select part, filter_order, cast(step as integer) as step, cast(kept as bigint) as kept,
+       cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+       cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+       cast(toxic_lost as bigint) as toxic_lost,
+       cast(sum(removed) over (partition by part, own) as bigint) as shapley
+from report"""
+
+
 SQL: dict[str, str] = {
     "op1_license_scan": license_scan(),
     "op4_quality_rules": quality(),
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op8_decontaminate": DECONTAMINATE,
+    "op12_filter_audit": FILTER_AUDIT,
 }
