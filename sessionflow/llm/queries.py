@@ -17,6 +17,7 @@ from . import (
     decontaminate,
     filter_audit,
     html_extract,
+    importance,
     licenses,
     nbsvm,
     quality_rules,
@@ -113,6 +114,12 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_extract": op2_html_extract,
@@ -125,4 +132,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_attention_lm": op10_attention_lm,
     "op12_filter_audit": op12_filter_audit,
+    "op13_importance": op13_importance,
 }
\ No newline at end of file
