@@ -18,6 +18,7 @@ from . import (
     filter_audit,
     html_extract,
     importance,
+    language_id,
     licenses,
     nbsvm,
     quality_rules,
@@ -32,6 +33,7 @@ __all__ = ["QUERIES", "SQL"]
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,6 +110,11 @@ def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)
+    return language_id.identified(docs, language_id.trained(docs, path), path)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -131,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash": op9_simhash,
     "op10_attention_lm": op10_attention_lm,
+    "op11_language_id": op11_language_id,
     "op12_filter_audit": op12_filter_audit,
     "op13_importance": op13_importance,
 }
\ No newline at end of file
