@@ -21,14 +21,19 @@ def prune_dates(new_events: DataFrame, cfg: SessionConfig = SessionConfig()) ->
 
     Distinct before and after the widening, so the shuffles carry dates and not events.
     """
-    touched = new_events.select(
-        "product_code", utc_date(epoch("timestamp")).alias("event_date")
-    ).distinct()
+    touched = batch_partitions(new_events)
     return touched.select(
         "product_code", widened_dates(F.col("event_date"), cfg.reach_days).alias("event_date")
     ).distinct()
 
 
+def batch_partitions(new_events: DataFrame) -> DataFrame:
+    """(product_code, event_date) of the batch's events themselves."""
+    return new_events.select(
+        "product_code", utc_date(epoch("timestamp")).alias("event_date")
+    ).distinct()
+
+
 def partition_filter(
     partitions: DataFrame, max_literals: int = MAX_PARTITION_LITERALS
 ) -> Column | None:
@@ -89,32 +94,48 @@ def in_partitions(
     )
 
 
-def from_dates(
-    rows: DataFrame, first_dates: DataFrame, max_literals: int = MAX_PARTITION_LITERALS
+def in_ranges(
+    rows: DataFrame, ranges: DataFrame, max_literals: int = MAX_PARTITION_LITERALS
 ) -> DataFrame:
-    """Rows of the products in ``first_dates``, from the ``event_date`` there on (NULL: all).
+    """Rows of the products in ``ranges`` with ``event_date`` from ``first_date`` to ``last_date``; a
+    bound that is NULL is none.
 
     One literal range for each product, so that partitions of others are not read. More products
     than ``max_literals`` are joined.
     """
-    found = first_dates.limit(max_literals + 1).collect()
+    ranges = ranges.select("product_code", "first_date", "last_date")
+    found = ranges.limit(max_literals + 1).collect()
     if len(found) > max_literals:
-        named = first_dates.select(
-            F.col("product_code").alias("wanted"), F.col("event_date").alias("first_date")
-        )
         return rows.join(
-            named,
+            ranges.withColumnRenamed("product_code", "wanted"),
             F.col("product_code").eqNullSafe(F.col("wanted"))
-            & (F.col("first_date").isNull() | (F.col("event_date") >= F.col("first_date"))),
+            & (F.col("first_date").isNull() | (F.col("event_date") >= F.col("first_date")))
+            & (F.col("last_date").isNull() | (F.col("event_date") <= F.col("last_date"))),
             "left_semi",
         )
     condition = F.lit(False)
-    for product, day in found:
-        same = F.col("product_code").eqNullSafe(F.lit(product))
-        condition = condition | (same if day is None else same & (F.col("event_date") >= F.lit(day)))
+    for product, first, last in found:
+        one = F.col("product_code").eqNullSafe(F.lit(product))
+        if first is not None:
+            one = one & (F.col("event_date") >= F.lit(first))
+        if last is not None:
+            one = one & (F.col("event_date") <= F.lit(last))
+        condition = condition | one
     return rows.where(condition)
 
 
+def from_dates(
+    rows: DataFrame, first_dates: DataFrame, max_literals: int = MAX_PARTITION_LITERALS
+) -> DataFrame:
+    """Rows of the products in ``first_dates``, from the ``event_date`` there on (NULL: all)."""
+    ranges = first_dates.select(
+        "product_code",
+        F.col("event_date").alias("first_date"),
+        F.lit(None).cast("date").alias("last_date"),
+    )
+    return in_ranges(rows, ranges, max_literals)
+
+
 def of_batch_pairs(rows: DataFrame, new_events: DataFrame) -> DataFrame:
     """Rows of the (user, product) pairs of the batch.
 

@@ -35,7 +35,7 @@ from sessionflow.sources.files import new_work_path
 NEW, LOOSE, STORED = "new", "loose", "stored"
 
 
-def _is_loose(cfg: SessionConfig) -> Column:
+def is_loose(cfg: SessionConfig) -> Column:
     """Stored rows whose id must be found anew, and not through their session's id.
 
     Without the idle cutoff a product event belongs to whatever session came last, so a late
@@ -101,7 +101,7 @@ class Reconciliation:
         changes = self.existing_id_changes() if id_changes is None else id_changes
         changes = changes.withColumnRenamed("original_session_id", "session_id")
         return (
-            rows.where(~_is_loose(self.cfg))
+            rows.where(~is_loose(self.cfg))
             .select(*EVENT_KEY, "session_id")
             .join(changes, [*PAIR, "session_id"])
             .select(*EVENT_KEY, F.col("final_session_id").alias("session_id"))
@@ -117,20 +117,51 @@ class Reconciliation:
         found = self.labelled_rows().unionByName(self.moved_rows(stored, id_changes))
         return _with_date(found.groupBy(*EVENT_KEY).agg(F.min("session_id").alias("session_id")))
 
+    def flagged_rows(
+        self, stored: DataFrame, id_changes: DataFrame, delivered_again: DataFrame
+    ) -> DataFrame:
+        """The same with ``inserted``: whether no stored row has the event's key.
+
+        ``delivered_again`` are the stored rows whose keys the batch has. The flag rides on the
+        aggregation that makes the rows unique, so no join looks for their keys.
+        """
+        is_new = F.col("kind") == NEW
+        labelled = self.assigned.where(
+            is_new
+            | ((F.col("kind") == LOOSE) & ~F.col("session_id").eqNullSafe(F.col("old_id")))
+        ).select(*EVENT_KEY, "session_id", is_new.alias("inserted"))
+        no = F.lit(False).alias("inserted")
+        again = delivered_again.select(
+            *EVENT_KEY, F.lit(None).cast("string").alias("session_id"), no
+        )
+        moved = self.moved_rows(stored, id_changes).select(*EVENT_KEY, "session_id", no)
+        found = labelled.unionByName(moved).unionByName(again).groupBy(*EVENT_KEY).agg(
+            F.min("session_id").alias("session_id"), F.bool_and("inserted").alias("inserted")
+        )
+        return found.withColumn("event_date", utc_date(epoch("timestamp"))).select(
+            *SESSION_COLUMNS, "inserted"
+        )
+
 
 def plan_reconciliation(
-    new_events: DataFrame, existing: DataFrame, cfg: SessionConfig = SessionConfig()
+    new_events: DataFrame,
+    existing: DataFrame,
+    cfg: SessionConfig = SessionConfig(),
+    sessions: DataFrame | None = None,
 ) -> Reconciliation:
     """``new_events`` are raw or sessionized rows of the batch, ``existing`` stored rows that
-    include every row within the timeout's reach of the batch (more rows do no harm)."""
-    sessions = of_batch_pairs(
-        existing.where(user_action_filter(cfg) & F.col("session_id").isNotNull())
-        .groupBy(*PAIR, "session_id")
-        .agg(F.min(epoch("timestamp")).alias("t"), F.max(epoch("timestamp")).alias("hi")),
-        new_events,
-    )
+    include every row within the timeout's reach of the batch (more rows do no harm). With
+    ``sessions``, the stored sessions (user_id, product_code, session_id, t, hi) within reach, only
+    rows whose id must be found anew are needed."""
+    if sessions is None:
+        sessions = (
+            existing.where(user_action_filter(cfg) & F.col("session_id").isNotNull())
+            .groupBy(*PAIR, "session_id")
+            .agg(F.min(epoch("timestamp")).alias("t"), F.max(epoch("timestamp")).alias("hi"))
+        )
+    sessions = of_batch_pairs(sessions, new_events)
     loose = of_batch_pairs(
-        existing.where(_is_loose(cfg)).select(*EVENT_KEY, "session_id"), new_events
+        existing.where(is_loose(cfg)).select(*EVENT_KEY, "session_id"), new_events
     )
     no_id = F.lit(None).cast("string")
 

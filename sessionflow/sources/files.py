@@ -5,16 +5,24 @@ The only module that uses the driver's JVM directly, which a Spark Connect sessi
 
 from __future__ import annotations
 
+import heapq
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
-from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
 MOVES_AT_ONCE = 16
+#: Waiting files that are remembered from one listing of their folder.
+LISTED = 20_000
+
+#: The folder that intermediate tables are made in, while ``work_scope`` holds.
+_scope: ContextVar[str | None] = ContextVar("work scope", default=None)
 
 
 def _path(spark: SparkSession, path: str):
@@ -50,7 +58,19 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def new_work_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/sessionflow-{name}-{uuid.uuid4().hex}"
+    return f"{_scope.get() or work_dir(spark)}/sessionflow-{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_scope(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder for all intermediate tables made meanwhile, which is removed at the end."""
+    path = new_work_path(spark, name)
+    token = _scope.set(path)
+    try:
+        yield path
+    finally:
+        _scope.reset(token)
+        delete_path(spark, path)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -91,9 +111,90 @@ def remove_file(spark: SparkSession, path: str) -> None:
     _file_system(spark, target).delete(target, False)
 
 
-def decoded_path(name: str) -> str:
-    """The path that ``inputFiles`` names as a URI, with spaces and other characters as they are."""
-    return unquote(name)
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target = _path(spark, path)
+    _file_system(spark, target).delete(target, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it is absent."""
+    if not path_exists(spark, path):
+        return []
+    target = _path(spark, path)
+    found = _file_system(spark, target).listStatus(target)
+    return sorted(s.getPath().getName() for s in found if s.isDirectory())
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the target is absent, its parents are made."""
+    old, new = _path(spark, source), _path(spark, target)
+    fs = _file_system(spark, new)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def replace_folder(spark: SparkSession, source: str, target: str, old: str) -> None:
+    """Put the folder ``source`` in the place of ``target``, which goes to ``old``.
+
+    Two renames, and whatever the first try has done, a second one does the rest: as long as
+    ``source`` is there, the target is what it was or is gone to ``old``.
+    """
+    if not path_exists(spark, source):
+        return
+    if path_exists(spark, target):
+        move_folder(spark, target, old)
+    move_folder(spark, source, target)
+
+
+def at_once(action, items: list) -> list:
+    """``action`` on every item, several at a time."""
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        return list(pool.map(action, items))
+
+
+def _listed(spark: SparkSession, folder: str) -> Iterator[tuple[int, str]]:
+    """(modification time, path) of the Parquet files below a folder, one after the other."""
+    root = _path(spark, folder)
+    fs = _file_system(spark, root)
+    root = fs.makeQualified(root)
+    found, above = fs.listFiles(root, True), len(root.toUri().getPath().rstrip("/")) + 1
+    while found.hasNext():
+        status = found.next()
+        path = status.getPath()
+        below = path.toUri().getPath()[above:].split("/")
+        if below[-1].endswith(".parquet") and not any(n.startswith(("_", ".")) for n in below):
+            yield status.getModificationTime(), path.toString()
+
+
+def waiting_files(
+    spark: SparkSession, folder: str, size: int, listed: int = LISTED
+) -> Iterator[list[str]]:
+    """The Parquet files that wait in a folder, in order of time, ``size`` at a time.
+
+    The driver remembers the first ``listed`` of them and lists the folder again for more, so a
+    backlog of any length takes the same memory. Files that come after the start wait on.
+    """
+    if not path_exists(spark, folder):
+        return
+    done, last = (-1, ""), None
+    while last is None or done < last:
+        newest = (-1, "")
+
+        def open_files() -> Iterator[tuple[int, str]]:
+            nonlocal newest
+            for file in _listed(spark, folder):
+                if done < file and (last is None or file <= last):
+                    newest = max(newest, file)
+                    yield file
+
+        found = heapq.nsmallest(max(size, listed // size * size), open_files())
+        if not found:
+            return
+        last = newest if last is None else last
+        for begin in range(0, len(found), size):
+            yield [path for _, path in found[begin : begin + size]]
+        done = found[-1]
 
 
 def archive_files(spark: SparkSession, files: list[str], archive_dir: str) -> int:
@@ -125,5 +226,4 @@ def archive_files(spark: SparkSession, files: list[str], archive_dir: str) -> in
             raise OSError(f"could not move {name} to {archive_dir}")
         return 1
 
-    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
-        return sum(pool.map(move, files))
+    return sum(at_once(move, files))

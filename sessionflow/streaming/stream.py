@@ -46,28 +46,45 @@ def start_session_stream(
 
 
 def session_windows(
-    events: DataFrame, cfg: SessionConfig = SessionConfig(), late_days: int | None = None
+    events: DataFrame,
+    cfg: SessionConfig = SessionConfig(),
+    late_days: int | None = None,
+    append: bool = False,
 ) -> DataFrame:
     """Start, end and number of user actions of each session, for batches and streams.
 
     The end is the last action plus the timeout. ``late_days`` is how late events of a stream
     may be; a session of a stream is final once the watermark has passed its end. Copies of an
     event count once; in a stream those that come while the watermark lets them.
+
+    ``append`` says that a stream with ``late_days`` is written in append mode. Its actions then
+    meet by pair only after they have been counted by pair and second, in a stateful step of its
+    own, so what is shuffled and kept by pair is bounded by the time span and not by the events.
+    Complete mode has no place for such a step.
     """
+    if append and late_days is None:
+        raise ValueError("append mode needs late_days")
     actions = events.where(user_action_filter(cfg)).where(
         "user_id is not null and product_code is not null and timestamp is not null"
     )
     if not events.isStreaming:
         return _batch_session_windows(actions, cfg)
-    if late_days is not None:
-        actions = actions.withWatermark("timestamp", f"{late_days} days")
-        actions = actions.dropDuplicatesWithinWatermark(EVENT_KEY)
+    time, counted = F.col("timestamp"), F.count(F.lit(1))
+    if late_days is None:
+        rows = actions.dropDuplicates(EVENT_KEY)
     else:
-        actions = actions.dropDuplicates(EVENT_KEY)
-    window = F.session_window("timestamp", f"{cfg.timeout_secs} seconds")
+        rows = actions.withWatermark("timestamp", f"{late_days} days")
+        rows = rows.dropDuplicatesWithinWatermark(EVENT_KEY)
+    if append:
+        # Times are whole seconds, so a window of the least width holds the actions of one second,
+        # and the time of such a window is the second itself.
+        by_second = F.window("timestamp", "1 microsecond").alias("second")
+        rows = rows.groupBy(*PAIR, by_second).agg(counted.alias("events"))
+        time, counted = F.window_time("second"), F.sum("events")
+    window = F.session_window(time, f"{cfg.timeout_secs} seconds")
     return (
-        actions.groupBy(*PAIR, window.alias("w"))
-        .agg(F.count(F.lit(1)).alias("actions"))
+        rows.groupBy(*PAIR, window.alias("w"))
+        .agg(counted.alias("actions"))
         .select(
             *PAIR,
             F.col("w.start").alias("session_start"),

@@ -44,27 +44,138 @@ def test_a_column_of_some_files_stays(spark, tmp_path):
     assert notes[("w", "a")] == "n" and notes[("w", "b")] is None and notes[("u", "a")] is None
 
 
-def test_a_crash_in_the_commit_is_finished_by_the_next_batch(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
+NEXT = [("z", "a", "10:00", "q")]
+
+
+class Lost(RuntimeError):
+    pass
+
+
+def crashing(monkeypatch, module, name, calls, after):
+    """The function fails at the given call, before or after it did its work."""
+    original, seen = getattr(module, name), []
+
+    def call(*args, **kwargs):
+        seen.append(args)
+        if len(seen) != calls:
+            return original(*args, **kwargs)
+        if after:
+            original(*args, **kwargs)
+        raise Lost(name)
+
+    monkeypatch.setattr(module, name, call)
+
+
+# two moves for each partition, of the rows and of the day table
+STEPS = [
+    ("write_staged", 1, True),
+    ("write_staged", 2, True),
+    ("write_text", 1, False),
+    ("write_text", 1, True),
+    *(("move_folder", k, after) for k in (1, 2, 5) for after in (False, True)),
+    ("remove_file", 1, False),
+    ("remove_file", 1, True),
+    ("write_text", 2, False),
+    ("remove_file", 2, False),
+    ("remove_file", 2, True),
+    ("remove_folder", 1, False),
+]
+
+
+@pytest.fixture(scope="module")
+def before_and_change(spark, tmp_path_factory):
+    """A table of the first batch, the rows that the second one upserts, and the table after it."""
+    path, change = (str(tmp_path_factory.mktemp("commit") / n) for n in ("t", "change"))
     process_batch(spark, raw(spark, FIRST), path)
+    rows = identify_sessions(raw(spark, [*FIRST, *LATE]))
+    rows.where("event_date = '2025-03-10'").write.parquet(change)
+    return path, spark.read.parquet(change), table(rows)
 
-    def half(rows, table_path):
-        """Old files of a partition are gone, new ones are not there yet."""
-        folder = os.path.join(table_path, "product_code=p", "event_date=2025-03-10")
-        for name in os.listdir(folder):
-            os.remove(os.path.join(folder, name))
-        raise RuntimeError("lost")
 
+@pytest.mark.parametrize("name,calls,after", STEPS)
+def test_a_crash_at_any_step_loses_nothing(
+    spark, tmp_path, monkeypatch, before_and_change, name, calls, after
+):
+    """The commit has not happened at all, or the next one finishes it."""
+    import shutil
+
+    first, change, expected = before_and_change
+    path = str(tmp_path / "t")
+    shutil.copytree(first, path)
+    old = table(read_session_table(spark, path))
+    monkeypatch.setattr(work, "MOVES_AT_ONCE", 1)  # so that moves come one after the other
+    with monkeypatch.context() as m:
+        crashing(m, work if name == "move_folder" else upsert, name, calls, after)
+        with pytest.raises(Lost):
+            upsert_sessions(spark, change, path)
+    upsert.finish_commit(spark, path)
+    committed = not (name == "write_staged" or (name, calls, after) == ("write_text", 1, False))
+    assert table(read_session_table(spark, path)) == (expected if committed else old)
+    upsert_sessions(spark, change, path)
+    assert table(read_session_table(spark, path)) == expected
+    assert not [n for n in os.listdir(path) if n.startswith("_") and n != "_state"]
+
+
+def test_a_batch_after_a_crash_finishes_the_commit(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    process_batch(spark, raw(spark, FIRST), path)
     with monkeypatch.context() as m:
-        m.setattr(upsert, "write_partitions", half)
-        with pytest.raises(RuntimeError, match="lost"):
+        crashing(m, work, "move_folder", 3, False)
+        with pytest.raises(Lost):
             process_batch(spark, raw(spark, LATE), path)
-    assert os.path.exists(upsert.pending_marker(path))
-    assert read_session_table(spark, path).where("user_id = 'u'").count() == 0
-    process_batch(spark, raw(spark, [("z", "a", "10:00", "q")]), path)
-    assert not os.path.exists(upsert.pending_marker(path))
-    everything = [*FIRST, *LATE, ("z", "a", "10:00", "q")]
-    assert table(read_session_table(spark, path)) == table(identify_sessions(raw(spark, everything)))
+    process_batch(spark, raw(spark, NEXT), path)
+    expected = identify_sessions(raw(spark, [*FIRST, *LATE, *NEXT]))
+    assert table(read_session_table(spark, path)) == table(expected)
+
+
+def test_rows_are_written_once_and_other_partitions_stay(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    process_batch(spark, raw(spark, FIRST), path)
+    other = os.path.join(path, "product_code=p", "event_date=2025-03-12")
+    before = sorted(os.listdir(other))
+    written = []
+    original = upsert.write_staged
+    monkeypatch.setattr(
+        upsert, "write_staged", lambda rows, to: written.append(to) or original(rows, to)
+    )
+    process_batch(spark, raw(spark, LATE), path)
+    assert [os.path.basename(to) for to in written] == ["rows", "days"]
+    assert sorted(os.listdir(other)) == before
+
+
+def test_the_schema_is_noted_and_footers_are_merged_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    path = str(tmp_path / "t")
+    files_with_two_schemas(spark, path)
+    merged = []
+    original = DataFrameReader.option
+    monkeypatch.setattr(
+        DataFrameReader,
+        "option",
+        lambda self, key, value: merged.append(key) or original(self, key, value),
+    )
+    process_batch(spark, raw(spark, LATE[:1]), path)
+    assert merged.count("mergeSchema") == 1
+    process_batch(spark, raw(spark, LATE[1:]), path)
+    process_batch(spark, raw(spark, [("w", "b", "2025-03-14 09:01:00", "q")]), path)
+    rows = read_session_table(spark, path)
+    assert merged.count("mergeSchema") == 1
+    notes = {(r.user_id, r.event_id): r.note for r in rows.collect()}
+    assert notes[("w", "a")] == "n" and notes[("w", "b")] is None and notes[("u", "a")] is None
+
+
+def test_a_folder_of_rows_alone_is_a_table(spark, tmp_path):
+    """Without its state a table is read from its files, and the next batch writes the state anew."""
+    import shutil
+
+    path = str(tmp_path / "t")
+    process_batch(spark, raw(spark, FIRST), path)
+    shutil.rmtree(os.path.join(path, "_state"))
+    process_batch(spark, raw(spark, LATE), path)
+    assert os.path.exists(os.path.join(path, "_state", "table.json"))
+    expected = identify_sessions(raw(spark, [*FIRST, *LATE]))
+    assert table(read_session_table(spark, path)) == table(expected)
 
 
 def test_no_work_is_left_behind(spark, tmp_path):
@@ -73,8 +184,9 @@ def test_no_work_is_left_behind(spark, tmp_path):
     path = str(tmp_path / "t")
     for batch in (FIRST, LATE):
         process_batch(spark, raw(spark, batch), path)
-    left = [n for n in set(os.listdir(shared)) - before if "batch" in n or "commit" in n]
-    assert left == []
+    process_batch(spark, raw(spark, LATE), path, SessionConfig(split_rows=1))
+    assert set(os.listdir(shared)) - before == set()
+    assert not [n for n in os.listdir(path) if n.startswith("_staged")]
 
 
 def test_batches_and_streams_reach_merge(spark, tmp_path):
@@ -143,22 +255,17 @@ def test_a_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert "hashpartitioning" not in plan
 
 
-def test_lookups_read_only_products_and_dates_of_the_batch(spark, tmp_path, monkeypatch):
-    from sessionflow.plans import pipeline
-
-    path = str(tmp_path / "t")
-    process_batch(spark, raw(spark, FIRST), path)
-    read = []
-    original = pipeline.from_dates
-    monkeypatch.setattr(
-        pipeline, "from_dates", lambda rows, dates: read.append(original(rows, dates)) or read[-1]
-    )
-    process_batch(spark, raw(spark, LATE[:1]), path)
-    filters = plan_of(read[-1]).split("PartitionFilters: [")[1].split("]")[0]
-    assert "product_code" in filters and "event_date" in filters and "2025-03-09" in filters
-    process_batch(spark, raw(spark, LATE[2:]), path, SessionConfig(idle_cutoff=False))
-    filters = plan_of(read[-2]).split("PartitionFilters: [")[1].split("]")[0]
-    assert "product_code" in filters and "q" in filters
+def test_the_target_is_read_once(spark, tmp_path):
+    path, change = str(tmp_path / "t"), str(tmp_path / "change")
+    upsert_sessions(spark, identify_sessions(raw(spark, FIRST)), path)
+    rows = identify_sessions(raw(spark, [*LATE, FIRST[0]]))
+    rows.withColumn("inserted", F.col("event_id") != "a").write.parquet(change)
+    target = read_session_table(spark, path).withColumn("note", F.lit("n"))
+    merged = upsert.merged_rows(target, spark.read.parquet(change), flagged=True)
+    plan = plan_of(merged)
+    assert plan.count(f"{tmp_path}/t]") == 1
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+    assert "hashpartitioning" not in plan
 
 
 @pytest.mark.parametrize("max_literals", [100, 0])

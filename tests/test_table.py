@@ -77,6 +77,33 @@ def test_run_batch_moves_files_and_ignores_an_empty_folder(spark, tmp_path):
     assert [name for name in left if name.startswith("sessionflow-batch-")] == []
 
 
+@pytest.mark.parametrize("archived", [True, False])
+def test_a_backlog_of_many_files_in_groups(spark, tmp_path, monkeypatch, archived):
+    """More files than a group, and more than one listing remembers: the same table, in order of time."""
+    from sessionflow.plans import pipeline
+
+    source, target, archive = (str(tmp_path / n) for n in ("raw", "table", "archive"))
+    for i, event in enumerate(EVENTS * 2):
+        raw(spark, [event]).coalesce(1).write.mode("append").parquet(f"{source}/more" if i % 2 else source)
+    names = [os.path.join(d, n) for d, _, files in os.walk(source) for n in files if n.endswith(".parquet")]
+    for i, name in enumerate(sorted(names)):
+        os.utime(name, (1000 + i % 5, 1000 + i % 5))
+    os.makedirs(f"{source}/_temporary")
+    os.link(names[0], f"{source}/_temporary/part.parquet")
+    groups, original = [], pipeline.read_events
+    monkeypatch.setattr(
+        pipeline, "read_events", lambda s, files: groups.append(files) or original(s, files)
+    )
+    find = pipeline.waiting_files
+    monkeypatch.setattr(pipeline, "waiting_files", lambda s, f, n: find(s, f, n, listed=4))
+    stats = run_batch(spark, source, target, archive if archived else None, max_files=3)
+    assert [len(g) for g in groups] == [3, 3, 2] and stats.events >= len(EVENTS)
+    times = [os.path.getmtime(os.path.join(archive, os.path.basename(f)) if archived else f.removeprefix("file:")) for g in groups for f in g]
+    assert times == sorted(times)
+    assert len(waiting_files(archive)) == 8 if archived else not os.path.exists(archive)
+    assert table(read_session_table(spark, target)) == table(identify_sessions(raw(spark, EVENTS)))
+
+
 def test_replay_after_the_table_was_written(spark, tmp_path):
     """Files that were not moved because of a crash are processed once more, with no effect."""
     source, target = str(tmp_path / "raw"), str(tmp_path / "table")
