@@ -24,14 +24,9 @@ def test_company_and_training_cover_all_training_documents(spark):
     bpe = byte_bpe(path, pattern)
     end, kind = len(bpe.lengths), attention_lm.id_kind(bpe)
     docs = documents(spark, [(i, f"text {i} of {i * 7} the") for i in range(2500)])
-    rows, n = attention_lm.in_shards(docs)
-    rows = rows.mapInArrow(
-        attention_lm.encoded_rows(path, pattern),
-        "shard int, doc_id long, held_out boolean, text string, ids binary",
-    )
-    learned = rows.where(~F.col("held_out"))
+    shards = attention_lm.in_chunks(docs, path, pattern).select(*attention_lm.TRAINING)
+    learned = docs.where("crc32(cast(doc_id as string)) % 5 <> 1")
     expected = Counter(i for r in learned.collect() for i in [*bpe.encode(r.text).tolist(), end])
-    shards = attention_lm.training_shards(learned, n, kind)
     frequent = np.array([i for i, _ in expected.most_common(5) if i != end])
     total, weight = attention_lm.company_counts(shards, frequent, end, kind)
     assert {i: int(weight[i]) for i in np.flatnonzero(weight)} == dict(expected)
@@ -53,7 +48,7 @@ def test_company_and_training_cover_all_training_documents(spark):
 def test_rounds_visit_every_window(count):
     steps, batch = attention_lm.plan(count, attention_lm.STEPS)
     rounds = [
-        attention_lm.visited(count, (3, 0), r, steps, batch) for r in range(attention_lm.ROUNDS)
+        attention_lm.visited(count, 3, r, steps, batch) for r in range(attention_lm.ROUNDS)
     ]
     assert len(np.unique(np.concatenate(rounds))) == count
     assert batch <= attention_lm.BATCH and steps * attention_lm.ROUNDS >= attention_lm.STEPS
