@@ -1,4 +1,9 @@
-"""64-bit hashes of words and of windows of words, for whole Arrow columns in numpy."""
+"""64-bit hashes of words and of windows of words, for whole Arrow columns in numpy.
+
+A hash mixes two polynomials of the contents: one modulo 2^64, and one modulo the prime 2^31 - 1. The first
+alone has the same value for some structured words (Thue-Morse words and their complements) whatever
+its base; the second has no such words.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15 | 1
+PRIME, PRIME_BASE = (1 << 31) - 1, 1_234_567_891
 SLICE_BYTES = 1 << 20
 
 
@@ -39,15 +45,38 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(found)
 
 
-_up, _down = powers(BASE, 1), powers(pow(BASE, -1, 1 << 64), 1)
+def in_field(x: np.ndarray) -> np.ndarray:
+    """Numbers modulo PRIME, up to a few more than it; two such numbers can be multiplied in 64 bits."""
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+    return (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+
+
+def field_powers(base: int, n: int) -> np.ndarray:
+    found = np.ones(1, np.uint64)
+    while len(found) < n:  # the next as many are these times the power that follows them
+        found = np.concatenate([found, in_field(found * np.uint64(pow(base, len(found), PRIME)))])
+    return found[:n]
+
+
+def tables(n: int) -> tuple[np.ndarray, ...]:
+    """Powers of both bases and of their inverses."""
+    inverse = pow(PRIME_BASE, -1, PRIME)
+    return (
+        powers(BASE, n),
+        powers(pow(BASE, -1, 1 << 64), n),
+        field_powers(PRIME_BASE, n),
+        field_powers(inverse, n),
+    )
+
+
+_tables = tables(1)
 
 
-def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _up, _down
-    if len(_up) < n:
-        size = 1 << (n - 1).bit_length()
-        _up, _down = powers(BASE, size), powers(pow(BASE, -1, 1 << 64), size)
-    return _up, _down
+def _powers_to(n: int) -> tuple[np.ndarray, ...]:
+    global _tables
+    if len(_tables[0]) < n:
+        _tables = tables(1 << (n - 1).bit_length())
+    return _tables
 
 
 @dataclass
@@ -64,11 +93,18 @@ class Words:
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hashes of values[start:end], equal for equal contents."""
-    up, down = _powers_to(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=total[1:])
+    n = len(values)
+    up, down, field_up, field_down = _powers_to(n + 1)
+    own = values.astype(np.uint64) + np.uint64(1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(own * up[:n], out=total[1:])
     found = (total[ends] - total[starts]) * down[starts]
-    return mixed(found + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    own = own if values.itemsize < 4 else in_field(mixed(own))
+    np.cumsum(in_field(own * field_up[:n]), out=total[1:])
+    other = in_field(in_field(total[ends] - total[starts]) * field_down[starts])
+    other %= np.uint64(PRIME)
+    found = mixed(found + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return mixed(found ^ other * np.uint64(0x9FB21C651E98DF25))
 
 
 def words_of(texts: pa.Array, separator: np.ndarray, lower: bool) -> Iterator[Words]:
