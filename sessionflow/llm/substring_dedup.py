@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import SPACE, Words, range_hashes, words_of
+from .hashing import SPACE, Words, mixed, range_hashes, words_of
 from .packed import buckets_of, pack, unpack
 from .recompression import anchors
 
@@ -170,12 +170,14 @@ def gathered(pieces: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
 
 
 def sent_and_settled(
-    sent: np.ndarray, doc: np.ndarray, keys: np.ndarray, settled: np.ndarray, n_buckets: int
+    sent: np.ndarray, doc: np.ndarray, settled: np.ndarray, n_buckets: int
 ) -> Iterator[pa.RecordBatch]:
     """Packed rows: those that meet others at their bucket, and those that only pass through."""
     yield packed_rows(sent, doc, buckets_of(sent[0], n_buckets), False)
     if settled.shape[1]:
-        yield packed_rows(settled, settled[0], buckets_of(keys, n_buckets), True)
+        # they meet no others, so copies of one passage are spread by document
+        bucket = buckets_of(mixed(settled[0].view(np.uint64)), n_buckets)
+        yield packed_rows(settled, settled[0], bucket, True)
 
 
 def key_rows(width: int, n_buckets: int) -> Callable:
@@ -196,9 +198,7 @@ def key_rows(width: int, n_buckets: int) -> Callable:
             table, new = sorted_with_new(table, 1)
             twice = twice_or_more(new)
             sent = table[:, new]
-            yield from sent_and_settled(
-                sent, sent[1], table[0, twice], table[1:, twice], n_buckets
-            )
+            yield from sent_and_settled(sent, sent[1], table[1:, twice], n_buckets)
 
     return of_batches
 
@@ -242,9 +242,7 @@ def window_rows(width: int, n_buckets: int) -> Callable:
         for table in gathered(pieces(batches)):
             table, new, again = first_and_again(table)
             sent, settled = table[:, new], table[:, again]
-            yield from sent_and_settled(
-                sent, sent[2], settled[0], settled[[2, 3, 1]], n_buckets
-            )
+            yield from sent_and_settled(sent, sent[2], settled[[2, 3, 1]], n_buckets)
 
     return of_batches
 

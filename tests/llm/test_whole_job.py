@@ -126,3 +126,15 @@ def test_a_short_row_of_an_item_does_not_shorten_its_match(item_id, turn):
     matches = decontaminate.longest(*tests.search(w), tests)
     assert [(m["doc_start"], m["n_words"]) for m in matches] == [(1, 10)]
     assert decontaminate.n_hit(matches) == 10
+
+
+def test_copies_of_a_passage_are_spread_by_document(spark):
+    """Copies that a task has settled itself do not meet at one bucket."""
+    line = " ".join(f"w{i}" for i in range(20))
+    rows = spark.range(8000).selectExpr("id as d", f"'{line}' as text").coalesce(1)
+    packed = rows.mapInArrow(substring_dedup.key_rows(20, 16), substring_dedup.PACKED)
+    sums = packed.where("settled").groupBy("bucket").agg(F.sum("n").alias("n"))
+    found = {r.bucket: r.n for r in sums.collect()}
+    assert len(found) == 16 and max(found.values()) < 2 * sum(found.values()) / 16
+    kept = substring_dedup.kept_words(rows.selectExpr("d as doc_id", "text"))
+    assert kept.where("n_removed = 20").count() == 7999
