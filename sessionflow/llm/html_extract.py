@@ -12,7 +12,8 @@ is one row per feature value and label, of a fixed list.
 
 NULL html is an empty page. Each row is read by itself: repeated pages and NULL ids are kept.
 Unclosed, stray and unknown tags are read as browsers read them; markup without text yields the
-empty string.
+empty string. Hints are ignored on an element that encloses nearly the whole page, its first heading or
+main part included: a form around everything says nothing. Words of hints are English only.
 """
 
 from __future__ import annotations
@@ -71,15 +72,17 @@ WEIGHT = {"tag": 0.25, "cue": 1.0, "size": 0.1, "links": 0.5}
 #: No hint is no evidence, and lists and containers are in menus and in articles alike.
 SILENT = frozenset({"cue=none", "tag=div", "tag=li", "tag=ol", "tag=ul"})
 EDGE_PRIOR = ((1.0, 0.001), (1.0, 1.0))
+#: After "=" a quoted value, or one up to white space; elsewhere quotes mean nothing, as in browsers.
+VALUE = r"\s*+(?>\"[^\"]*\"|'[^']*'|[^\s>]*+)"
 MARK = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>",
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>=]+|={VALUE})*+)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(
-    r"\b(class|id|role|style|hidden|aria-hidden|data-main|data-other)"
-    r"(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?"
-)
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: An element with this share of the page's text encloses the page if the main part is in it too; with
+#: more than ALL it does in any case.
+MOST, ALL = 0.8, 0.98
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -101,6 +104,7 @@ def cue_of(attributes: str) -> tuple[str, str]:
     cue, mark = "none", ""
     for name, *values in ATTRIBUTE.findall(attributes):
         value = "".join(values)
+        name = name.lower()
         if name in ("data-main", "data-other"):
             mark = name[5:]
         elif name == "hidden" or name == "aria-hidden" and value == "true":
@@ -108,7 +112,7 @@ def cue_of(attributes: str) -> tuple[str, str]:
         elif name == "style":
             if "display:none" in value.replace(" ", ""):
                 cue = "bad"
-        else:
+        elif name in ("class", "id", "role"):
             words = {w.lower() for w in TOKEN.findall(value)}
             if words & BAD:
                 cue = "bad"
@@ -121,6 +125,10 @@ def parsed(source: str) -> Page:
     page = Page()
     stack: list[int] = []
     raw = 0  # open elements whose text does not count
+    # what the stack holds: its elements by tag, the nearest block of each, open paragraphs by scope
+    opened: Counter = Counter()
+    nearest: list[int] = []
+    paragraphs = [0]
     text: list[str] = []
     position, hidden_until = 0, ""
 
@@ -137,8 +145,26 @@ def parsed(source: str) -> Page:
         words = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if words:
-            at = next((n for n in reversed(stack) if page.tag[n] in BLOCKS), stack[-1])
-            page.blocks.append((at, words))
+            page.blocks.append((nearest[-1], words))
+
+    def push() -> None:
+        n, tag = len(page.tag) - 1, page.tag[-1]
+        stack.append(n)
+        nearest.append(n if tag in BLOCKS or not nearest else nearest[-1])
+        opened[tag] += 1
+        if tag in SCOPE:
+            paragraphs.append(0)
+        paragraphs[-1] += tag == "p"
+
+    def pop() -> str:
+        nonlocal raw
+        tag = page.tag[stack.pop()]
+        opened[tag] -= 1
+        raw -= tag in RAW
+        if tag in SCOPE:
+            paragraphs.pop()
+        paragraphs[-1] -= tag == "p"
+        return tag
 
     def say(piece: str) -> None:
         if page.tag[stack[-1]] == "head" and piece.strip(" \t\n\f\r"):
@@ -153,27 +179,29 @@ def parsed(source: str) -> Page:
                 page.linked[stack[-1]] += size
 
     def close(tag: str) -> None:
-        nonlocal raw
         if tag in BLOCKS:
             end_block()
-        while stack and len(stack) > 1:
-            n = stack.pop()
-            raw -= page.tag[n] in RAW
-            if page.tag[n] in BLOCKS and page.tag[n] != tag:
+        while len(stack) > 1:
+            found = pop()
+            if found in BLOCKS and found != tag:
+                # text after its last inner block is its own or that of the nearest block in it
                 end_block()
-            if page.tag[n] == tag:
+            nearest.pop()
+            if found == tag:
                 return
 
     def open_in_scope(tags: set[str]) -> str | None:
+        if not any(opened[tag] for tag in tags):
+            return None
         for n in reversed(stack):
             if page.tag[n] in tags:
                 return page.tag[n]
-            if page.tag[n] in SCOPE or page.tag[n] in ("ul", "ol", "dl") and "p" not in tags:
+            if page.tag[n] in SCOPE or page.tag[n] in ("ul", "ol", "dl"):
                 return None
         return None
 
     add("html", "")
-    stack.append(0)
+    push()
     for m in MARK.finditer(source):
         if hidden_until:
             if not (m[1] and m[2].lower() == hidden_until):
@@ -188,7 +216,7 @@ def parsed(source: str) -> Page:
         if m[1]:
             if tag in ("html", "body"):
                 continue
-            if any(page.tag[n] == tag for n in stack[1:]):
+            if opened[tag]:
                 close(tag)
             continue
         if tag == "html" or tag == "head" and len(stack) > 1:
@@ -199,18 +227,19 @@ def parsed(source: str) -> Page:
             say(" ")
             text.append(" ")
         if tag in BLOCKS:
-            if open_in_scope({"p"}):
+            if paragraphs[-1]:
                 close("p")
             end_block()
         if other := open_in_scope(CLOSED_BY[tag]) if tag in CLOSED_BY else None:
             close(other)
         if tag == "body" and raw:
             while len(stack) > 1:
-                raw -= page.tag[stack.pop()] in RAW
+                pop()
+                nearest.pop()
         if tag in VOID:  # a slash at the end of other tags means nothing in HTML
             continue
         add(tag, m[3])
-        stack.append(len(page.tag) - 1)
+        push()
         if tag in RAW:
             raw += 1
         if tag in OPAQUE:
@@ -224,12 +253,27 @@ def parsed(source: str) -> Page:
 # --- model ----------------------------------------------------------------------------------
 
 
-def inside(page: Page, n: int) -> bool:
-    """Whether an element lies in an article, main or section."""
-    while (n := page.parent[n]) >= 0:
-        if page.tag[n] in ("article", "main", "section"):
-            return True
-    return False
+def enclosing(page: Page, whole: list[int]) -> list[bool]:
+    """Whether an element encloses the page, by its share of the text (``whole``) and by whether the first
+    heading or main part lies in it."""
+    size = len(page.tag)
+    last = list(range(size))  # the last element inside each
+    for n in range(size - 1, 0, -1):
+        last[page.parent[n]] = max(last[page.parent[n]], last[n])
+    main = next(
+        (
+            n
+            for n, tag in enumerate(page.tag)
+            if tag in ("h1", "main") or page.cue[n] != "bad" and tag == "article" or page.cue[n] == "good"
+        ),
+        -1,
+    )
+    return [
+        page.tag[n] in ("html", "body")
+        or whole[n] > ALL * whole[0]
+        or whole[n] >= MOST * whole[0] and n < main <= last[n]
+        for n in range(size)
+    ]
 
 
 def features(page: Page) -> list[tuple[str, ...]]:
@@ -238,16 +282,22 @@ def features(page: Page) -> list[tuple[str, ...]]:
     for n in range(len(whole) - 1, 0, -1):
         whole[page.parent[n]] += whole[n]
         linked[page.parent[n]] += linked[n]
+    around = enclosing(page, whole)
+    inner = [False] * len(page.tag)  # in an article, main or section
     found = []
     for n, tag in enumerate(page.tag):
+        p = page.parent[n]
+        if p >= 0:
+            inner[n] = inner[p] or page.tag[p] in ("article", "main", "section")
         size = sum(page.own[n] > limit for limit in (0, 20, 80, 300))
         share = 0 if not whole[n] else 1 + min(2, 3 * linked[n] // whole[n])
-        if tag == "header" and inside(page, n):
-            tag = "div"  # an article's own head, not the page's
+        if tag == "header" and inner[n] or tag == "form" and around[n]:
+            tag = "div"  # an article's own head, not the page's; a form around the page
+        cue = "none" if around[n] and page.cue[n] == "bad" else page.cue[n]
         found.append(
             (
                 f"tag={tag if tag in TAGS else 'other'}",
-                f"cue={page.cue[n]}",
+                f"cue={cue}",
                 f"size={size}",
                 f"links={share}",
             )

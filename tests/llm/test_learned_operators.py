@@ -314,3 +314,69 @@ def test_stages_keep_the_columns_and_take_odd_tables(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF_DIR), f"test-{name}")
     assert docs.where("doc_id = 6").count() <= 1
+
+
+# --- pages whose markup misleads ------------------------------------------------------------
+
+BEES = "<h1>Bees</h1>" + "".join(
+    f"<p>The bees of hill number {i} came back in spring and found the meadow full of flowers.</p>" for i in range(8)
+)
+MENU = "<ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul>"
+BLOCKS_OF_BEES = ["Bees"] + [
+    f"The bees of hill number {i} came back in spring and found the meadow full of flowers." for i in range(8)
+]
+
+
+@pytest.fixture(scope="module")
+def tree_model(spark):
+    return html_extract.trained(table(spark, LARGER, "pages"))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><form id='aspnetForm'><div class='menu'>{MENU}</div><div>{BEES}</div></form></body>",
+        f"<body class='no-search-form has-sidebar'><nav>{MENU}</nav><div>{BEES}</div></body>",
+        f"<body><div id='page-with-sidebar'><nav>{MENU}</nav><div class='content'>{BEES}</div></div></body>",
+        f"<body><nav>{MENU}</nav><div title='hidden gems' data-id='social-12' data-role=comments>{BEES}</div></body>",
+        f"<body><nav>{MENU}</nav><main>{BEES}</main><div class='comments'><p>{'I like bees. ' * 90}</p></div></body>",
+        f"<body><table><tr><td class=nav>{MENU}</td><td>{BEES}</td></tr></table></body>",
+    ],
+)
+def test_misleading_hints(tree_model, page):
+    assert html_extract.main_text(page, tree_model).split("\n\n") == BLOCKS_OF_BEES
+
+
+def test_tags_are_read_up_to_their_end(tree_model):
+    page = (
+        f"<main>{BEES}<p>See <a href=\"x\"\">link</a> and <b data-t=it's>bold</b>, <i title='a > b' x = \"<p>\">it</i>"
+        " 1 < 2 & <3</p></main><div"
+    )
+    found = html_extract.main_text(page, tree_model).split("\n\n")
+    assert found == [*BLOCKS_OF_BEES, "See link and bold, it 1 < 2 & <3"]
+    cues = [html_extract.cue_of(a)[0] for a in (
+        " title='hidden gems'", " data-id=social-12", " aria-label='comments'", " hidden", " CLASS=nav",
+        " x = y class = 'share'", " id=\"post\"", " class", " =class='nav'",
+    )]
+    assert cues == ["none", "none", "none", "bad", "bad", "bad", "good", "none", "bad"]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>x" * 200_000,
+        "<p><button>" + "<div>x" * 100_000,
+        "<b>" * 100_000 + "x<hr>" * 100_000,
+        "<header>x" * 100_000,
+        "<ul><li>x" * 100_000,
+        "<i>x" * 100_000 + "</u></i>" * 100_000,
+        "<a b=" * 50_000,
+        "<a b='" * 2_001,
+    ],
+)
+def test_deep_and_broken_pages_take_seconds(tree_model, page):
+    import time
+
+    begin = time.monotonic()
+    html_extract.main_text(page, tree_model)
+    assert time.monotonic() - begin < 30
