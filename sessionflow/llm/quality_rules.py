@@ -287,15 +287,25 @@ def measured_documents(docs: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
+def measured_rows(docs: DataFrame, rules: Rules) -> DataFrame:
+    """``measured_documents`` with all columns of ``docs`` as a struct, so that rows can be kept without
+    measuring them again."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    packed = docs.select(row)
+    stratum = F.col(f"row.`{rules.stratum}`") if rules.stratum in docs.columns else F.lit(None)
+    return packed.select(
+        F.col("row.doc_id").alias("doc_id"),
+        stratum.cast("string").alias("stratum"),
+        measures(F.col("row.text")).alias("m"),
+        "row",
+    )
+
+
+def kept_rows(measured: DataFrame, cutoffs: DataFrame, rules: Rules) -> DataFrame:
+    """Of ``measured_rows`` those that the rules keep, with their own columns; no shuffle."""
+    return with_verdict(measured, cutoffs, rules).where("kept").select("row.*")
+
+
 def kept_documents(docs: DataFrame, cutoffs: DataFrame, rules: Rules) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns; no shuffle."""
-    packed = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-        (
-            F.col(rules.stratum).cast("string")
-            if rules.stratum in docs.columns
-            else F.lit(None).cast("string")
-        ).alias("stratum"),
-        measures(F.col("text")).alias("m"),
-    )
-    return with_verdict(packed, cutoffs, rules).where("kept").select("row.*")
+    return kept_rows(measured_rows(docs, rules), cutoffs, rules)
