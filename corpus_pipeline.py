@@ -20,9 +20,9 @@ def reject_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that the base rules and the certified cutoffs keep."""
     rules = quality_rules.Rules()
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    measured = stored(quality_rules.measured_documents(docs, rules), "measured")
+    measured = stored(quality_rules.measured_rows(docs, rules), "measured")
     cutoffs = quality_rules.certified_cutoffs(measured, labels, rules)
-    return quality_rules.kept_documents(docs, cutoffs, rules)
+    return quality_rules.kept_rows(measured, cutoffs, rules)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
