@@ -1,12 +1,14 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
 A template is a list of words with the share of them that a block must contain. Blocks are the
-whole document for the base phrases (all words) and its lines for the notices. The tokens of both are
+whole document for the base phrases (all words) and every window of ``WINDOW`` consecutive words for the
+notices, so line breaks and comment signs inside a notice mean nothing. A window that begins at a word of no
+template holds no more than the next one, so only the others are looked at. The tokens of both are
 ordered by how many documents of the corpus have them, rarest first:
 
 * prefix filter: with |T| tokens of which o are needed, a block meets a template only if it has one
   of the first |T| - o + 1 tokens; so only such blocks are looked at, and they join on those tokens;
-* length filter: a block needs o tokens that templates have at all;
+* length filter: a block needs o different tokens that templates have at all;
 * positional filter: after common tokens at places i and j, at most min(|T| - i, |B| - j) can follow.
 
 Surviving pairs are verified on the whole sets, and base phrases on the places of their words: the
@@ -78,6 +80,10 @@ TEMPLATES = (
 )
 
 
+#: Words of a block: those of the longest notice.
+WINDOW = max(len(x.words) for x in TEMPLATES)
+
+
 def words(text: Column) -> Column:
     """Words as written; where they begin and end does not depend on the case of letters."""
     return F.filter(F.split(text, BETWEEN), lambda w: w != "")
@@ -113,69 +119,66 @@ def prefix(template: Template, order: list[str]) -> list[str]:
 
 def blocks(text: Column, order: list[str], templates: tuple[Template, ...]) -> Column:
     """Blocks of a text that pass the prefix and length filters of any template: whether it is the
-    document, its tokens in order, and for the document the places of the tokens."""
+    document, the ranks of its tokens in order, and for the document the places of the tokens."""
     tokens = {k: sorted({t for x in templates if x.base == k for t in x.tokens}) for k in (True, False)}
     starts = {k: sorted({t for x in templates if x.base == k for t in prefix(x, order)}) for k in (True, False)}
     least = {k: min(x.needed for x in templates if x.base == k) for k in (True, False)}
     ranks = F.create_map(*(F.lit(x) for k, t in enumerate(order) for x in (t, k)))
-
-    def ordered(w: Column, kind: bool) -> Column:
-        return F.transform(
-            F.sort_array(
-                F.transform(
-                    F.array_distinct(F.filter(w, lambda x: x.isin(tokens[kind]))),
-                    lambda x: F.struct(F.try_element_at(ranks, x).alias("rank"), x.alias("token")),
-                )
-            ),
-            lambda x: x["token"],
-        )
-
+    rare = [order.index(t) for t in starts[False]]
     nothing = F.array().cast(
-        "array<struct<whole:boolean,tokens:array<string>,places:array<struct<at:bigint,word:string>>>>"
+        "array<struct<whole:boolean,tokens:string,places:array<struct<at:bigint,word:string>>>>"
     )
 
-    def document(w: Column) -> Column:
-        low = F.transform(w, lowered)
-        places = F.filter(
+    def joined(found: Column) -> Column:
+        return F.array_join(F.transform(F.sort_array(found), lambda x: x.cast("string")), ",")
+
+    def places(low: Column, kind: bool) -> Column:
+        return F.filter(
             F.transform(low, lambda x, k: F.struct(k.cast("long").alias("at"), x.alias("word"))),
-            lambda x: x["word"].isin(tokens[True]),
+            lambda x: x["word"].isin(tokens[kind]),
         )
-        block = F.array(
-            F.struct(F.lit(True).alias("whole"), ordered(low, True).alias("tokens"), places.alias("places"))
-        )
-        return F.when(F.exists(w, lambda x: lowered(x).isin(starts[True])), block).otherwise(
-            nothing
+
+    def document(low: Column) -> Column:
+        def block(at: Column) -> Column:
+            found = F.array_distinct(F.transform(at, lambda x: F.try_element_at(ranks, x["word"])))
+            return F.array(
+                F.struct(F.lit(True).alias("whole"), joined(found).alias("tokens"), at.alias("places"))
+            )
+
+        return F.when(
+            F.exists(low, lambda x: x.isin(starts[True])), let(places(low, True), block)
+        ).otherwise(nothing)
+
+    def windows(low: Column) -> Column:
+        ranked = F.transform(
+            places(low, False),
+            lambda x: F.struct(x["at"].alias("at"), F.try_element_at(ranks, x["word"]).alias("rank")),
         )
 
-    def lines(t: Column) -> Column:
+        def sets(hits: Column) -> Column:
+            reached = F.transform(
+                hits,
+                lambda x, k: F.transform(
+                    F.filter(F.slice(hits, k + 1, WINDOW), lambda y: y["at"] < x["at"] + WINDOW),
+                    lambda y: y["rank"],
+                ),
+            )
+            kept = F.filter(reached, lambda r: F.exists(r, lambda x: x.isin(rare)))
+            kept = F.filter(F.transform(kept, F.array_distinct), lambda r: F.size(r) >= least[False])
+            return F.array_distinct(F.transform(kept, joined))
+
         none = F.array().cast("array<struct<at:bigint,word:string>>")
-        kept = F.filter(
-            F.transform(F.split(t, "\n"), words),
-            lambda w: F.exists(w, lambda x: lowered(x).isin(starts[False])),
-        )
         found = F.transform(
-            kept,
-            lambda w: F.struct(
-                F.lit(False).alias("whole"),
-                ordered(F.transform(w, lowered), False).alias("tokens"),
-                none.alias("places"),
-            ),
+            let(ranked, sets),
+            lambda x: F.struct(F.lit(False).alias("whole"), x.alias("tokens"), none.alias("places")),
         )
-        return F.filter(found, lambda b: F.size(b["tokens"]) >= least[False])
+        return F.when(F.exists(low, lambda x: x.isin(starts[False])), found).otherwise(nothing)
 
     return let(
-        text,
-        lambda t: let(
-            words(t),
-            lambda w: F.struct(
-                F.size(w).cast("long").alias("n_words"),
-                F.when(
-                    F.exists(w, lambda x: lowered(x).isin(starts[True] + starts[False])),
-                    F.concat(document(w), lines(t)),
-                )
-                .otherwise(nothing)
-                .alias("blocks"),
-            ),
+        F.transform(words(text), lowered),
+        lambda low: F.struct(
+            F.size(low).cast("long").alias("n_words"),
+            F.concat(document(low), windows(low)).alias("blocks"),
         ),
     )
 
@@ -184,13 +187,13 @@ def template_rows(docs: DataFrame, order: list[str], templates: tuple[Template,
     """One row for each prefix token of each template."""
     rows = []
     for k, x in enumerate(templates):
-        tokens = sorted(x.tokens, key=order.index)
+        tokens = sorted(order.index(t) for t in x.tokens)
         for i, token in enumerate(prefix(x, order)):
-            rows.append((k, x.base, x.label, x.words, tokens, x.needed, i, token))
+            rows.append((k, x.base, x.label, x.words, tokens, x.needed, i, order.index(token)))
     return docs.sparkSession.createDataFrame(
         rows,
-        "template int, whole boolean, label string, t_words array<string>, t_tokens array<string>, "
-        "needed int, i int, token string",
+        "template int, whole boolean, label string, t_words array<string>, t_tokens array<int>, "
+        "needed int, i int, token int",
     )
 
 
@@ -229,7 +232,14 @@ def license_scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -
         .select("doc_id", "key", "blocks")
         .distinct()
         .select("doc_id", "key", F.posexplode("blocks").alias("block", "b"))
-        .select("doc_id", "key", "block", "b.*")
+        .select(
+            "doc_id",
+            "key",
+            "block",
+            "b.whole",
+            "b.places",
+            F.split("b.tokens", ",").cast("array<int>").alias("tokens"),
+        )
     )
     size, o = F.size("tokens"), F.col("needed")
     candidates = (

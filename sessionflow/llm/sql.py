@@ -79,21 +79,25 @@ def license_scan() -> str:
     )
     return f"""
 with t(template, base, label, phrase, tokens, needed) as (values {templates}),
-d as (select doc_id, {words("text", ALPHABET_WORD, True)} as w, coalesce(text, '') as text
-      from documents),
+d as (select doc_id, {words("text", ALPHABET_WORD, True)} as w from documents),
 starts as (
   select doc_id, label, i - 1 as place
   from (select doc_id, w, label, phrase, unnest(range(1, len(w) - len(phrase) + 2)) as i
         from d, t where base and len(w) >= len(phrase))
   where w[i:i + len(phrase) - 1] = phrase
 ),
-lines as (
-  select doc_id, {words("line", ALPHABET_WORD, True)} as w
-  from (select doc_id, unnest(string_split(text, chr(10))) as line from d)
+hits as (
+  select doc_id, template, label, needed, len(tokens) as size, at, word
+  from (select doc_id, unnest(range(len(w))) as at, unnest(w) as word from d)
+  join (select template, label, needed, tokens, unnest(tokens) as word from t where not base) using (word)
 ),
 shared as (
-  select doc_id, label, needed, len(tokens) as size, len(list_intersect(list_distinct(w), tokens)) as n
-  from lines, t where not base and len(w) >= needed
+  select doc_id, label, needed, size,
+         count(distinct word) over (
+           partition by doc_id, template order by at
+           range between current row and {licenses.WINDOW - 1} following
+         ) as n
+  from hits
 ),
 found as (
   select doc_id, label, 1.0 as share, place from starts

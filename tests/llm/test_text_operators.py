@@ -197,8 +197,7 @@ def test_longest_matches_and_their_places(spark):
 
 
 def scanned(doc_id, text):
-    text = (text or "").encode().lower()
-    words = worded(text.decode())
+    words = worded(text)
     starts, base, labels, score = [], set(), set(), 0.0
     for template in licenses.TEMPLATES:
         phrase = [w.encode() for w in template.words]
@@ -210,8 +209,8 @@ def scanned(doc_id, text):
                 labels.add(template.label)
                 score = 1.0
             continue
-        for line in text.split(b"\n"):
-            shared = len(set(worded(line.decode())) & set(phrase))
+        for at in range(len(words)):
+            shared = len(set(words[at : at + licenses.WINDOW]) & set(phrase))
             if shared >= template.needed:
                 labels.add(template.label)
                 score = max(score, shared / len(set(phrase)))
@@ -235,13 +234,50 @@ NOTICES = [
 ]
 
 
+WRAPPED = {
+    "bsd": "/*\n * Redistribution and use in source and binary forms, with or without\n"
+    " * modification, are permitted provided that the following conditions are met:\n */",
+    "apache": "# Licensed under the Apache License,\n# Version 2.0 (the \"License\");\n# you may not use this file",
+    "lgpl": "-- licensed under the GNU Lesser\n-- General Public License\n--\n-- version 3 or later",
+    "gpl": "// You can redistribute it\r\n// and/or modify\r\n// it under the terms of the GNU General\n"
+    "//\n// Public License as published",
+    "mit": "Permission is hereby granted,\n\nfree of charge, to any\nperson obtaining a copy\nof this software",
+    "mpl": "; This file is subject to the terms of the Mozilla\n; Public License, version\n; 2.0.",
+}
+
+
 def test_license_scan(spark):
-    for docs in [*inputs(spark), documents(spark, NOTICES * 2)]:
+    wrapped = [(30 + k, text) for k, text in enumerate(WRAPPED.values())]
+    for docs in [*inputs(spark), documents(spark, NOTICES * 2 + wrapped)]:
         found = Counter(tuple(r) for r in licenses.license_scan(docs).collect())
         expected = Counter(scanned(*r) for r in docs.select("doc_id", "text").collect())
         assert found == expected
 
 
+def test_wrapped_notices_are_found(spark):
+    rows = [(k, f"code here\n{text}\nmore code") for k, text in enumerate(WRAPPED.values())]
+    found = {r.doc_id: r.labels.split(",") for r in licenses.license_scan(documents(spark, rows)).collect()}
+    for k, label in enumerate(WRAPPED):
+        assert label in found[k]
+
+
+def test_words_of_a_notice_far_apart_are_none(spark):
+    gap = " x" * licenses.WINDOW
+    rows = [(1, f"released under the{gap} MIT license"), (2, f"released{gap[:-6]} under the MIT license")]
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.license_scan(documents(spark, rows)).collect()}
+    assert found == {1: ("", 0.0), 2: ("", 0.0)}
+    near = " x" * (licenses.WINDOW - 5)
+    (row,) = licenses.license_scan(documents(spark, [(1, f"released{near} under the MIT license")])).collect()
+    assert (row.labels, row.score) == ("mit", 1.0)
+
+
+def test_many_notices_in_a_long_text(spark):
+    notices = list(WRAPPED.values())
+    text = "\n".join(f"{notices[i % 6]}\n file{i}" for i in range(6000))
+    (row,) = licenses.license_scan(documents(spark, [(1, text)])).collect()
+    assert tuple(row) == scanned(1, text)
+
+
 def test_words_by_space_are_those_of_the_contract(spark):
     from sessionflow.llm.columns import space_words
 
