@@ -87,17 +87,20 @@ starts as (
   where w[i:i + len(phrase) - 1] = phrase
 ),
 hits as (
-  select doc_id, template, label, needed, len(tokens) as size, at, word
-  from (select doc_id, unnest(range(len(w))) as at, unnest(w) as word from d)
+  select doc_id, template, label, needed, len(tokens) as size, i, word
+  from (select doc_id, unnest(range(len(w))) as i, unnest(w) as word from d)
   join (select template, label, needed, tokens, unnest(tokens) as word from t where not base) using (word)
 ),
+enough as (
+  select doc_id, template from hits group by doc_id, template, needed having count(distinct word) >= needed
+),
 shared as (
   select doc_id, label, needed, size,
          count(distinct word) over (
-           partition by doc_id, template order by at
+           partition by doc_id, template order by i
            range between current row and {licenses.WINDOW - 1} following
          ) as n
-  from hits
+  from hits join enough using (doc_id, template)
 ),
 found as (
   select doc_id, label, 1.0 as share, place from starts
