@@ -184,6 +184,50 @@ def _with_blocks(block_bytes):
     return limited
 
 
+@pytest.mark.parametrize("letters", [(3, 9), (1, 1)])
+def test_a_broadcast_is_bounded_by_the_text_of_its_block(letters):
+    import pickle
+
+    chooser = np.random.default_rng(5)
+    items, size = [], 0
+    while size < 2 << 20:
+        lengths = chooser.integers(letters[0], letters[1] + 1, 400)
+        text = " ".join("".join(map(chr, chooser.integers(97, 123, n))) for n in lengths)
+        items.append((len(items), text))
+        size += len(text)
+    tests = decontaminate.TestSuffixes(items, 10)
+    assert len(tests.windows) == len(items) * 391
+    assert len(pickle.dumps(tests, pickle.HIGHEST_PROTOCOL)) < 6 * size + (2 << 20)
+
+
+def test_windows_are_searched_some_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    from sessionflow.llm.hashing import NO_WORD, words_of
+
+    chooser = random.Random(7)
+    letters = lambda n: " ".join(chooser.choices("abc", k=n))
+    items = [(k, letters(chooser.choice([0, 1, 2, 3, 4, 12]))) for k in range(60)]
+    texts = [letters(chooser.randint(0, 60)) for _ in range(40)]
+    monkeypatch.setattr(decontaminate, "AT_ONCE", 7)
+    tests = decontaminate.TestSuffixes(items, 4)
+    (w,) = words_of(pa.array(texts), NO_WORD, True)
+    window, place = tests.search(w)
+    item, at, length = tests.places(window)
+    found = Counter(zip(item.tolist(), at.tolist(), length.tolist(), place.tolist()))
+    expected = Counter()
+    for k, (_, text) in enumerate(items):
+        own = text.split()
+        n = min(4, len(own))
+        for i in range(len(own) - n + 1 if n else 0):
+            for t, document in enumerate(texts):
+                there = document.split()
+                for j in range(len(there) - n + 1):
+                    if there[j : j + n] == own[i : i + n]:
+                        expected[k, i, n, int(w.first[t]) + j] += 1
+    assert found == expected
+
+
 def test_longest_matches_and_their_places(spark):
     rows = decontaminate.with_matches(
         documents(spark, [(1, f"x y {' '.join(f'passage{i}' for i in range(18))} z")]),
