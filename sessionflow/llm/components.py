@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from .store import stored
 
+#: A key with more than one of so many rows is frequent.
+SHARE = 1000
+
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Fewest links that connect what the links a-b connect: each node and the least of its group."""
@@ -29,13 +32,28 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[away], nodes[label[away]]
 
 
+def frequent(rows: DataFrame, key: str) -> DataFrame:
+    """The keys that more than one of ``SHARE`` rows have. There are fewer than ``SHARE`` of them."""
+    counts = rows.groupBy(key).count()
+    return stored(counts.where(F.col("count") * SHARE > rows.count()).select(key), "frequent")
+
+
+def look_up(rows: DataFrame, values: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``values``, which has one row for each ``key``. Rows of the ``hot`` keys
+    meet their values in a broadcast and stay where they are; the others are shuffled by key."""
+    hot_values = values.join(F.broadcast(hot), key, "left_semi")
+    at_once = rows.join(F.broadcast(hot_values), key)
+    shuffled = rows.join(F.broadcast(hot), key, "left_anti").join(values, key)
+    return at_once.unionByName(shuffled)
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in ``links`` (columns a, b): the root is the least node reached.
 
     Every round hands the least label over each link, to the node and to its present root, and
     then replaces labels by their own labels, so paths shorten by a factor each round. Labels
-    only fall: equal sums mean that nothing changed. Links of a node with many of them meet its
-    one label in a join whose large side Spark can split; minima are combined before shuffles.
+    only fall: equal sums mean that nothing changed. Links of a node with many of them, and nodes of
+    a root with many of them, meet its label in a broadcast; minima are combined before shuffles.
     """
     both = stored(
         links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links"
@@ -45,9 +63,10 @@ def connected_components(links: DataFrame) -> DataFrame:
         both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("root")), "labels"
     )
     before = labels.agg(total).head()[0]
+    hubs = frequent(both, "b")
     while True:
         offered = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
+            look_up(both, labels.withColumnRenamed("node", "b"), "b", hubs)
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("root").alias("low"))
             .join(labels, "node")
@@ -66,7 +85,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         )
         lower = stored(lower, "lower")
         their = lower.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        labels = stored(lower.join(their, "root").select("node", F.col("next").alias("root")), "labels")
+        shorter = look_up(lower, their, "root", frequent(lower, "root"))
+        labels = stored(shorter.select("node", F.col("next").alias("root")), "labels")
         after = labels.agg(total).head()[0]
         if after == before:
             return labels

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import free_name
-from .components import connected_components, forest
+from .components import connected_components, forest, frequent, look_up
 from .store import stored
 
 SHINGLE = 4
@@ -250,9 +250,10 @@ def near_components(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least_id"
     )
+    rooted = stored(rooted, "rooted")
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_node = rooted.join(ids, "root").select("fp", "component_id")
-    return fps.join(of_node, "fp")
+    of_node = look_up(rooted, ids, "root", frequent(rooted, "root")).select("fp", "component_id")
+    return look_up(fps, stored(of_node, "components"), "fp", frequent(fps, "fp"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -114,7 +114,30 @@ def test_one_of_each(spark):
     assert simhash.one_of_each(documents(spark, [])).count() == 0
 
 
-def test_components_of_a_chain_and_a_star(spark):
+@pytest.mark.parametrize("share", [1, 3, components.SHARE])
+def test_frequent_keys_are_looked_up_in_place(spark, monkeypatch, share):
+    monkeypatch.setattr(components, "SHARE", share)
+    rows = spark.createDataFrame(
+        [(k, 0 if k % 2 else k) for k in range(400)] + [(7, 0), (900, 901)], "node long, root long"
+    )
+    values = spark.range(0, 401).select(F.col("id").alias("root"), (F.col("id") * 3).alias("next"))
+    hot = components.frequent(rows, "root")
+    keys = [r.root for r in hot.collect()]
+    assert len(keys) < max(share, 1)
+    assert (0 in keys) == (share > 1)
+    found = components.look_up(rows, values, "root", hot)
+    assert found.columns == rows.join(values, "root").columns
+    assert Counter(map(tuple, found.collect())) == Counter(
+        map(tuple, rows.join(values, "root").collect())
+    )
+    empty = rows.limit(0)
+    nothing = components.look_up(empty, values, "root", components.frequent(empty, "root"))
+    assert nothing.count() == 0
+
+
+@pytest.mark.parametrize("share", [1, components.SHARE])
+def test_components_of_a_chain_and_a_star(spark, monkeypatch, share):
+    monkeypatch.setattr(components, "SHARE", share)
     links = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(1001, 1400)] + [(7, 7)]
     found = components.connected_components(spark.createDataFrame(links, "a long, b long"))
     root = {r.node: r.root for r in found.collect()}
