@@ -4,6 +4,8 @@ One head over a window of CONTEXT + SCORED inputs, of which the last SCORED are
 
     h = E[c] + P + softmax(q k / sqrt(d), causal) v,   g = h + relu(h A + a) B,   logits = g O + o
 
+With ``Subwords`` an input is E[c] and the vector of its id, and g also tells the ids of a class apart.
+
 Windows overlap by CONTEXT inputs, so each token is scored once, with at least CONTEXT tokens before it
 where the text has them. Windows of all texts are scored in one batch; a mask hides later
 inputs and places before the text.
@@ -15,10 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from .subwords import Learner, Subwords
+
 CONTEXT, SCORED = 8, 16
 WIDTH = CONTEXT + SCORED
 DIMENSION, HIDDEN = 8, 16
 WINDOWS_AT_ONCE = 256
+#: Rate of the rows of ``Subwords``, as a multiple of the other parameters'.
+ROW_RATE = 10
 NAMES = ("E", "P", "Q", "K", "V", "A", "a", "B", "O", "o")
 
 #: Query t (input CONTEXT + t) sees inputs up to its own.
@@ -50,16 +56,18 @@ class Attention:
             }
         )
 
-    def forward(self, inputs: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-        """Logits of the queries of ``inputs`` (windows, WIDTH); -1 marks places before a text."""
+    def forward(
+        self, inputs: np.ndarray, vectors: np.ndarray | None = None
+    ) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """Logits of the queries of ``inputs`` (windows, WIDTH); -1 marks places before a text.
+        ``vectors`` are those of the inputs' ids."""
         p = self.parameters
-        e, place = p["E"], p["P"]
-        # one layer: keys and values are sums of a row by class and a row by place
-        keys = (e @ p["K"])[inputs] + place @ p["K"]
-        values = (e @ p["V"])[inputs] + place @ p["V"]
-        own = inputs[:, CONTEXT:]
-        queries = (e @ p["Q"])[own] + place[CONTEXT:] @ p["Q"]
-        x = e[own] + place[CONTEXT:]
+        rows = p["E"][inputs] + p["P"]
+        if vectors is not None:
+            rows += vectors
+        keys, values = rows @ p["K"], rows @ p["V"]
+        x = rows[:, CONTEXT:]
+        queries = x @ p["Q"]
         scores = queries @ keys.transpose(0, 2, 1)
         scores *= np.float32(DIMENSION**-0.5)
         scores += CAUSAL
@@ -75,23 +83,38 @@ class Attention:
         g = flat + inner @ p["B"]
         return g @ p["O"] + p["o"], {
             "keys": keys, "values": values, "queries": queries, "weights": scores,
-            "flat": flat, "inner": inner, "g": g, "own": own,
+            "flat": flat, "inner": inner, "g": g, "rows": rows,
         }
 
-    def log_probability(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log P(target class) of every query, flat: ``forward`` with fewer passes.
+    def tables(self, e: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What ``log_probability`` takes from inputs of vectors ``e``: they, keys, values, queries, and
+        a bound of the scores."""
+        p = self.parameters
+        scale = np.float32(DIMENSION**-0.5)
+        keys, queries = e @ p["K"], e @ p["Q"] * scale
+        greatest = 1.0
+        for table, at in ((keys, p["P"] @ p["K"]), (queries, p["P"][CONTEXT:] @ p["Q"] * scale)):
+            greatest *= np.linalg.norm(table, axis=1).max() + np.linalg.norm(at, axis=1).max()
+        return e, keys, e @ p["V"], queries, greatest
+
+    def log_probability(
+        self,
+        inputs: np.ndarray,
+        targets: np.ndarray,
+        tables: tuple[np.ndarray, ...] | None = None,
+        subwords: Subwords | None = None,
+        ids: np.ndarray | None = None,
+    ) -> np.ndarray:
+        """Natural log P(target class) of every query, flat: ``forward`` with fewer passes. With
+        ``subwords``, that of the target ``ids``; inputs are rows of the ``tables``.
 
         Weights are normalised after they are applied. Where no score can exceed what exp bears,
         which the norms of queries and keys tell, the greatest score need not be taken off.
         """
         p = self.parameters
-        e, place = p["E"], p["P"]
-        scale = np.float32(DIMENSION**-0.5)
-        key_of, key_at = e @ p["K"], place @ p["K"]
-        query_of, query_at = e @ p["Q"] * scale, place[CONTEXT:] @ p["Q"] * scale
-        greatest = 1.0
-        for table, at in ((key_of, key_at), (query_of, query_at)):
-            greatest *= np.linalg.norm(table, axis=1).max() + np.linalg.norm(at, axis=1).max()
+        e, key_of, value_of, query_of, greatest = tables or self.tables(p["E"])
+        place = p["P"]
+        key_at, query_at = place @ p["K"], place[CONTEXT:] @ p["Q"] * np.float32(DIMENSION**-0.5)
         own = inputs[:, CONTEXT:]
         weights = (query_of[own] + query_at) @ (key_of[inputs] + key_at).transpose(0, 2, 1)
         weights += CAUSAL
@@ -101,7 +124,7 @@ class Attention:
         if greatest > 60:
             weights -= weights.max(axis=2, keepdims=True)
         np.exp(weights, out=weights)
-        mixed = weights @ ((e @ p["V"])[inputs] + place @ p["V"])
+        mixed = weights @ (value_of[inputs] + place @ p["V"])
         mixed /= weights.sum(axis=2, keepdims=True)
         mixed += e[own]
         mixed += place[CONTEXT:]
@@ -115,21 +138,38 @@ class Attention:
         logits -= logits.max(axis=1, keepdims=True)
         chosen = logits[np.arange(len(logits)), targets.ravel()]
         np.exp(logits, out=logits)
-        return chosen - np.log(logits.sum(axis=1))
+        chosen = chosen - np.log(logits.sum(axis=1))
+        return chosen if subwords is None else chosen + subwords.log_probability(flat, ids.ravel())
 
     def gradients(
-        self, inputs: np.ndarray, targets: np.ndarray, use: np.ndarray
+        self,
+        inputs: np.ndarray,
+        targets: np.ndarray,
+        use: np.ndarray,
+        subwords: Subwords | None = None,
+        numbers: np.ndarray | None = None,
+        ids: np.ndarray | None = None,
     ) -> dict[str, np.ndarray]:
-        """Gradients of the mean negative log probability of the targets in ``use``."""
+        """Gradients of the mean negative log probability of the targets in ``use``.
+
+        With ``subwords``, of that of the target ``ids``; ``numbers`` are the input numbers. Then ``before`` are
+        the gradients by the inputs' vectors, and ``nodes`` and ``tree`` those by rows of the trees.
+        """
         p = self.parameters
-        logits, t = self.forward(inputs)
+        logits, t = self.forward(inputs, None if subwords is None else subwords.before[numbers])
         logits -= logits.max(axis=1, keepdims=True)
-        dlogits = np.exp(logits)
+        dlogits = np.exp(logits, out=logits)
         dlogits /= dlogits.sum(axis=1, keepdims=True)
         dlogits[np.arange(len(dlogits)), targets.ravel()] -= 1
-        dlogits *= (use.ravel() / max(1, use.sum()))[:, None].astype(np.float32)
+        each = 1 / max(1, int(use.sum()))
+        dlogits *= (use.ravel() * each)[:, None].astype(np.float32)
         found = {"O": t["g"].T @ dlogits, "o": dlogits.sum(axis=0)}
         dg = dlogits @ p["O"].T
+        if subwords is not None:
+            real = np.flatnonzero(use.ravel())
+            by_g, found["nodes"], by_tree = subwords.gradients(t["g"][real], ids.ravel()[real])
+            dg[real] += by_g * dg.dtype.type(each)
+            found["tree"] = by_tree * dg.dtype.type(each)
         found["B"] = t["inner"].T @ dg
         dinner = (dg @ p["B"].T) * (t["inner"] > 0)
         found["A"], found["a"] = t["flat"].T @ dinner, dinner.sum(axis=0)
@@ -137,18 +177,25 @@ class Attention:
         weights = t["weights"]
         dvalues = weights.transpose(0, 2, 1) @ dh
         dweights = dh @ t["values"].transpose(0, 2, 1)
-        dscores = weights * (dweights - (dweights * weights).sum(axis=2, keepdims=True))
+        dweights -= (dweights * weights).sum(axis=2, keepdims=True)
+        dscores = np.multiply(dweights, weights, out=dweights)
         dscores *= np.float32(DIMENSION**-0.5)
         dqueries = dscores @ t["keys"]
         dkeys = dscores.transpose(0, 2, 1) @ t["queries"]
-        x = p["E"][inputs] + p["P"]
+        x = t["rows"]
         for name, dx, rows in (("K", dkeys, x), ("V", dvalues, x), ("Q", dqueries, x[:, CONTEXT:])):
             found[name] = rows.reshape(-1, DIMENSION).T @ dx.reshape(-1, DIMENSION)
         dx = dkeys @ p["K"].T + dvalues @ p["V"].T
         dx[:, CONTEXT:] += dqueries @ p["Q"].T + dh
         found["P"] = dx.sum(axis=0)
-        found["E"] = np.zeros_like(p["E"])
-        np.add.at(found["E"], inputs.ravel(), dx.reshape(-1, DIMENSION))
+        by_input = dx.reshape(-1, DIMENSION)
+        size = len(p["E"])
+        row = inputs.ravel() + np.where(inputs.ravel() < 0, size, 0)
+        found["E"] = np.stack(
+            [np.bincount(row, weights=column, minlength=size) for column in by_input.T], axis=1
+        ).astype(dx.dtype)
+        if subwords is not None:
+            found["before"] = by_input
         return found
 
     def copy(self) -> Attention:
@@ -165,14 +212,32 @@ class Attention:
         return Attention({n: x.reshape(self.parameters[n].shape) for n, x in parts})
 
     def train(
-        self, inputs: np.ndarray, targets: np.ndarray, batches: np.ndarray, rates: np.ndarray
-    ) -> None:
-        """Adam on batches of windows, a row of ``batches`` each; targets below 0 are no tokens."""
+        self,
+        inputs: np.ndarray,
+        targets: np.ndarray,
+        batches: np.ndarray,
+        rates: np.ndarray,
+        subwords: Subwords | None = None,
+        numbers: np.ndarray | None = None,
+        ids: np.ndarray | None = None,
+    ) -> tuple[Learner, Learner] | None:
+        """Adam on batches of windows, a row of ``batches`` each; targets below 0 are no tokens. The rows
+        of ``subwords`` are trained with it, and their learners returned."""
         first = {n: np.zeros_like(v) for n, v in self.parameters.items()}
         second = {n: np.zeros_like(v) for n, v in self.parameters.items()}
+        learners = None if subwords is None else (Learner(subwords.before), Learner(subwords.tree))
         for step, (rows, rate) in enumerate(zip(batches, rates.tolist()), 1):
             use = targets[rows] >= 0
-            grads = self.gradients(inputs[rows], np.maximum(targets[rows], 0), use)
+            more = () if subwords is None else (subwords, numbers[rows], ids[rows])
+            grads = self.gradients(inputs[rows], np.maximum(targets[rows], 0), use, *more)
+            if learners is not None:
+                n = np.float32(use.sum())
+                own = numbers[rows].ravel()
+                for learner, at, by in (
+                    (learners[0], own, grads.pop("before")),
+                    (learners[1], grads.pop("nodes"), grads.pop("tree")),
+                ):
+                    learner.step(at, by * n, ROW_RATE * rate)
             for n, grad in grads.items():
                 first[n] = 0.9 * first[n] + 0.1 * grad
                 second[n] = 0.99 * second[n] + 0.01 * grad * grad
@@ -180,6 +245,7 @@ class Attention:
                 self.parameters[n] -= (
                     rate * step_by / (np.sqrt(second[n] / (1 - 0.99**step)) + 1e-8)
                 ).astype(np.float32)
+        return learners
 
 
 def window_count(first: np.ndarray) -> int:
@@ -209,25 +275,40 @@ def windows_of(
     return inputs, targets
 
 
-def scores(model: Attention, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Natural log probability of the class of every token of all texts."""
+def scores(
+    model: Attention, classes: np.ndarray, first: np.ndarray, subwords: Subwords | None = None,
+    of: np.ndarray | None = None,
+) -> np.ndarray:
+    """Natural log probability of the class of every token of all texts. With ``subwords`` and the classes
+    ``of`` all ids, that of every token, which are then given as ids."""
     found = np.zeros(len(classes), np.float64)
     size = np.diff(first)
     count = -(-size // SCORED)
     begin = 0
     upto = np.cumsum(count)
+    tables, read = None, classes
+    if subwords is not None:
+        read = classes + 1
+        tables = model.tables(model.parameters["E"][input_classes(of)] + subwords.before)
     while begin < len(size):
         end = max(
             begin + 1,
             int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + 32 * WINDOWS_AT_ONCE, "right")),
         )
-        inputs, targets = windows_of(classes, first[begin : end + 1])
+        inputs, targets = windows_of(read, first[begin : end + 1])
         for at in range(0, len(inputs), WINDOWS_AT_ONCE):
             some = targets[at : at + WINDOWS_AT_ONCE]
             real = some.ravel() >= 0
+            own = classes[np.maximum(some, 0)]
+            more = () if subwords is None else (tables, subwords, own)
             values = model.log_probability(
-                inputs[at : at + WINDOWS_AT_ONCE], classes[np.maximum(some, 0)]
+                inputs[at : at + WINDOWS_AT_ONCE], own if subwords is None else of[own], *more
             )
             found[some.ravel()[real]] = values[real]
         begin = end
     return found
+
+
+def input_classes(of: np.ndarray) -> np.ndarray:
+    """Class by input number: that of a text's beginning, those ``of`` all ids, the mask."""
+    return np.concatenate([[0], of, [-1]])

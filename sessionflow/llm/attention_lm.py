@@ -1,12 +1,14 @@
 """Scores of texts by a causal self-attention model over subword ids, and by word counts.
 
-The model: P(id) = P(class | classes before) P(id | class). Ids are byte-level BPE ids, and one end of each text.
+The model: P(id) = P(class | ids before) P(id | class, ids before). Ids are byte-level BPE ids, and one end of
+each text.
 The most frequent ids are classes of their own; the others are grouped by the company they keep (which
 frequent ids stand near them, so languages part), by whether they begin a word and by
-frequency. The first factor is a self-attention model trained in numpy on all windows of all training
-documents: in each of ROUNDS rounds every chunk trains the shared parameters on its next share of windows,
-and they are averaged by tokens, exactly, so in any order. The company and the second factor are counted
-over all training documents.
+frequency. Both factors come from one self-attention model over the ids, the second through a tree of each
+class (``subwords``), trained in numpy on all windows of all training documents: in each of ROUNDS rounds every
+chunk trains the shared parameters on its next share of windows, and they are averaged by tokens, those of
+single ids and nodes by how often they were met, exactly, so in any order. The company and what the trees
+start with are counted over all training documents.
 
 The base: each word's count over all training documents. Documents are read once, in chunks of bounded size as
 they lie in their files: a chunk is one row of a table, with the ids of its texts and its different words,
@@ -30,11 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .attention import Attention, scores, window_count, windows_of
+from .attention import DIMENSION, Attention, input_classes, scores, window_count, windows_of
 from .bpe import ByteBpe, byte_bpe
 from .hashing import SPACE, words_of
 from .packed import buckets_of, pack, unpack
 from .store import stored
+from .subwords import Subwords
 
 FOLDS, HELD_OUT = 5, 1
 #: Text of a chunk, and least number and text of a bucket of words.
@@ -46,7 +49,7 @@ CLASSES = 2 + FREQUENT + GROUPS * 2 * TIERS
 STEPS, BATCH, SEED = 600, 256, 7
 ROUNDS, LEAST_BATCH = 6, 32
 PIECE_IDS = 1 << 17
-FIXED_POINT = 1 << 24
+FIXED_POINT, LOW_BITS = 1 << 24, 20
 LOG10 = 1 / np.log(10)
 
 
@@ -217,11 +220,13 @@ def word_counts(chunks: DataFrame) -> DataFrame:
 # --- subwords -------------------------------------------------------------------------------
 
 
-def with_ends(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+def with_ends(
+    ids: np.ndarray, sizes: np.ndarray, end: int, kind: type = np.int64
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts, each with its end, and where they begin."""
     upto = np.cumsum(sizes)
     first = np.concatenate([[0], upto + np.arange(1, len(sizes) + 1)]).astype(np.int64)
-    return np.insert(ids.astype(np.int64), upto, end), first
+    return np.insert(ids.astype(kind), upto, end), first
 
 
 def pieces(ids: np.ndarray, sizes: np.ndarray, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -348,7 +353,7 @@ def by_frequency(n: np.ndarray) -> np.ndarray:
 
 
 class Classes:
-    """Classes of ids and log10 P(id | class), from the counts of all training documents."""
+    """Classes of ids and their trees, from the counts of all training documents."""
 
     def __init__(
         self, bpe: ByteBpe, n: np.ndarray, total: np.ndarray, weight: np.ndarray
@@ -366,8 +371,7 @@ class Classes:
             mass = np.cumsum(n[rest[own]] + 0.5)
             tier = np.minimum((mass * TIERS / mass[-1:]).astype(np.int64), TIERS - 1)
             self.of[rest[own]] = 2 + FREQUENT + (k * TIERS + tier) * 2 + begins[own]
-        weight = np.bincount(self.of, weights=n + 0.5, minlength=CLASSES)
-        self.inside = np.log10((n + 0.5) / weight[self.of])
+        self.subwords = Subwords.of_counts(self.of, n + 0.5, DIMENSION)
 
 
 # --- training -------------------------------------------------------------------------------
@@ -386,60 +390,90 @@ def visited(count: int, chunk: int, number: int, steps: int, batch: int) -> np.n
     return order[np.arange(number * size, (number + 1) * size) % count]
 
 
-def trained_rows(model: Attention, of: np.ndarray, kind: type, number: int, least: int):
-    """(place of a parameter, its value in fixed point, tokens of the chunk) after a round."""
+def trained_rows(
+    model: Attention,
+    of: np.ndarray,
+    kind: type,
+    number: int,
+    least: int,
+    subwords: Subwords | None = None,
+):
+    """(place of a parameter, its value in fixed point, weight) after a round. The model's parameters come
+    first, weighed by the tokens of the chunk, then those of ``subwords`` that it met, by how often."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        class_of = input_classes(of).astype(np.int8)
         for chunk, all_ids, sizes in chunks_in(batches, kind):
             if not len(sizes):
                 continue
-            ids, first = with_ends(all_ids, sizes, len(of) - 1)
-            classes, count = of[ids].astype(np.int8), window_count(first)
+            ids, first = with_ends(all_ids, sizes, len(of) - 1, np.int32)
+            count = window_count(first)
             steps, batch = plan(count, least)
             rows, which = np.unique(
                 visited(count, chunk, number, steps, batch), return_inverse=True
             )
-            inputs, places = windows_of(classes, first, rows)  # of this round only
-            targets = np.where(places >= 0, classes[places], np.int8(-1))
+            numbers, places = windows_of(ids + 1, first, rows)  # of this round only
+            targets = np.where(places >= 0, ids[places], -1)
+            inputs = class_of[numbers]
+            numbers[numbers < 0] = len(of) + 1
             progress = (number + np.arange(steps) / steps) / ROUNDS
-            own = model.copy()
-            own.train(
-                inputs.astype(np.int8),
-                targets,
+            own, more = model.copy(), ()
+            if subwords is not None:
+                its = subwords.copy()
+                numbers = numbers.astype(np.min_scalar_type(len(of) + 1))
+                more = (its, numbers, np.maximum(targets, 0))
+            learners = own.train(
+                inputs,
+                np.where(targets >= 0, of[targets], -1).astype(np.int8),
                 which.reshape(steps, batch),
                 0.01 * np.minimum(1, 2 * (1 - progress)),
+                *more,
             )
-            flat = np.round(own.flat().astype(np.float64) * FIXED_POINT).astype(np.int64)
-            yield pa.record_batch(
-                [
-                    pa.array(np.arange(len(flat)), pa.int32()),
-                    pa.array(flat),
-                    pa.array(np.full(len(flat), len(all_ids) + len(sizes))),
-                ],
-                names=["place", "value", "n"],
-            )
+            at = len(own.flat())
+            yield parameter_rows(np.arange(at), own.flat(), len(all_ids) + len(sizes))
+            for learner in learners or ():
+                met, width = np.flatnonzero(learner.visits), learner.table.shape[1]
+                place = at + met[:, None] * width + np.arange(width)
+                yield parameter_rows(
+                    place.ravel(), learner.table[met].ravel(), np.repeat(learner.visits[met], width)
+                )
+                at += learner.table.size
 
     return of_batches
 
 
-def trained(chunks: DataFrame, classes: Classes, kind: type) -> Attention:
-    """The attention model of the classes, trained on all windows of the chunks."""
-    model = Attention.random(CLASSES, SEED)
-    # sums of whole numbers, so the average does not depend on the order of chunks
-    weighted = F.col("value").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)")
+def parameter_rows(place: np.ndarray, value: np.ndarray, n: np.ndarray | int) -> pa.RecordBatch:
+    fixed = np.round(value.astype(np.float64) * FIXED_POINT).astype(np.int64)
+    weight = np.broadcast_to(np.asarray(n, np.int64), place.shape)
+    return pa.record_batch(
+        [pa.array(place.astype(np.int32)), pa.array(fixed), pa.array(weight)],
+        names=["place", "value", "n"],
+    )
+
+
+def trained(chunks: DataFrame, classes: Classes, kind: type) -> tuple[Attention, Subwords]:
+    """The attention model of the ids, trained on all windows of the chunks."""
+    model, subwords = Attention.random(CLASSES, SEED), classes.subwords
+    size = len(model.flat())
+    # sums of whole numbers, so the average does not depend on the order of chunks; in two parts of their
+    # bits, so they do not overflow
+    weighted = F.col("value") * F.col("n")
+    high, low = F.sum(F.shiftright(weighted, LOW_BITS)), F.sum(weighted.bitwiseAND((1 << LOW_BITS) - 1))
+    total = high.cast("double") * (1 << LOW_BITS) + low.cast("double")
     for number in range(ROUNDS):
         found = (
             chunks.mapInArrow(
-                trained_rows(model, classes.of, kind, number, STEPS), "place int, value long, n long"
+                trained_rows(model, classes.of, kind, number, STEPS, subwords),
+                "place int, value long, n long",
             )
             .groupBy("place")
-            .agg((F.sum(weighted).cast("double") / F.sum("n")).alias("value"))
-            .toArrow()  # as many rows as parameters
+            .agg((total / F.sum("n")).alias("value"))
+            .toArrow()  # no more rows than parameters
         )
-        if found.num_rows:
-            order = np.argsort(found["place"].to_numpy())
-            model = model.from_flat(found["value"].to_numpy()[order] / FIXED_POINT)
-    return model
+        flat = np.concatenate([model.flat(), subwords.flat()]).astype(np.float64)
+        flat[found["place"].to_numpy()] = found["value"].to_numpy() / FIXED_POINT
+        model, subwords = model.from_flat(flat[:size]), subwords.from_flat(flat[size:])
+    return model, subwords
 
 
 # --- scores ---------------------------------------------------------------------------------
@@ -463,7 +497,7 @@ def lm_scores(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     counted[end] = texts
     total, weight = company_counts(learned, by_frequency(counted)[:FREQUENT], end, kind)
     classes = Classes(bpe, counted, total, weight)
-    model = trained(learned, classes, kind)
+    model, subwords = trained(learned, classes, kind)
     under = np.log10(tokens + 0.5 * (distinct + 1))
 
     def by_counts(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -498,8 +532,8 @@ def lm_scores(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for chunk, sizes, blob in zip(*(batch[c] for c in ("chunk", "n_ids", "ids"))):
                 sizes = np.array(sizes.as_py(), np.int64)
                 found = [np.empty(0)]
-                for own, begin in pieces(unpacked_ids(blob.as_py(), kind), sizes, classes.end):
-                    value = scores(model, classes.of[own], begin) * LOG10 + classes.inside[own]
+                for own, begin in pieces(unpacked_ids(blob.as_py(), kind), sizes, end):
+                    value = scores(model, own, begin, subwords, classes.of) * LOG10
                     whose = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
                     found.append(np.bincount(whose, weights=value, minlength=len(begin) - 1))
                 yield pa.record_batch(
