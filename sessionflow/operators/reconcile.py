@@ -120,27 +120,38 @@ class Reconciliation:
     def flagged_rows(
         self, stored: DataFrame, id_changes: DataFrame, delivered_again: DataFrame
     ) -> DataFrame:
-        """The same with ``inserted``: whether no stored row has the event's key.
+        """The same with ``inserted``: whether no stored row has the event's key, and ``changed``: whether
+        the table does not have the row as it is.
 
-        ``delivered_again`` are the stored rows whose keys the batch has. The flag rides on the
+        ``delivered_again`` are the stored rows whose keys the batch has. The flags ride on the
         aggregation that makes the rows unique, so no join looks for their keys.
         """
         is_new = F.col("kind") == NEW
+        none = F.lit(None).cast("struct<id: string>").alias("had")
         labelled = self.assigned.where(
             is_new
             | ((F.col("kind") == LOOSE) & ~F.col("session_id").eqNullSafe(F.col("old_id")))
-        ).select(*EVENT_KEY, "session_id", is_new.alias("inserted"))
+        ).select(*EVENT_KEY, "session_id", is_new.alias("inserted"), none)
         no = F.lit(False).alias("inserted")
         again = delivered_again.select(
-            *EVENT_KEY, F.lit(None).cast("string").alias("session_id"), no
+            *EVENT_KEY,
+            F.lit(None).cast("string").alias("session_id"),
+            no,
+            F.struct(F.col("session_id").alias("id")).alias("had"),
         )
-        moved = self.moved_rows(stored, id_changes).select(*EVENT_KEY, "session_id", no)
+        moved = self.moved_rows(stored, id_changes).select(*EVENT_KEY, "session_id", no, none)
         found = labelled.unionByName(moved).unionByName(again).groupBy(*EVENT_KEY).agg(
-            F.min("session_id").alias("session_id"), F.bool_and("inserted").alias("inserted")
-        )
-        return found.withColumn("event_date", utc_date(epoch("timestamp"))).select(
-            *SESSION_COLUMNS, "inserted"
+            F.min("session_id").alias("session_id"),
+            F.bool_and("inserted").alias("inserted"),
+            # stored copies may disagree
+            F.min("had").alias("least"),
+            F.max("had").alias("most"),
         )
+        own = F.struct(F.col("session_id").alias("id"))
+        kept = F.col("least").eqNullSafe(own) & F.col("most").eqNullSafe(own)
+        return found.withColumns(
+            {"event_date": utc_date(epoch("timestamp")), "changed": ~kept}
+        ).select(*SESSION_COLUMNS, "inserted", "changed")
 
 
 def plan_reconciliation(

@@ -66,21 +66,16 @@ def session_days(rows: DataFrame, user_actions: tuple[str, ...] | list[str]) ->
 
 
 def touched_sessions(rows: DataFrame, cfg: SessionConfig) -> DataFrame:
-    """(user_id, product_code, session_id, events, days): one row for each session in ``rows``, and
-    one for each pair's events without a session. ``days`` has one entry for each date."""
+    """The table of these rows, with the number of ``events`` of each of its rows."""
     return (
         rows.groupBy(*PAIR, "event_date", "session_id")
         .agg(F.count(F.lit(1)).alias("events"), *_actions(cfg.user_actions))
-        .groupBy(*PAIR, "session_id")
-        .agg(
-            F.sum("events").alias("events"),
-            F.collect_list(F.struct("event_date", "first_t", "last_t")).alias("days"),
-        )
+        .select(*DAY_COLUMNS, "events")
     )
 
 
 def days_of(touched: DataFrame) -> DataFrame:
-    return touched.select(*PAIR, "session_id", F.inline("days")).select(*DAY_COLUMNS)
+    return touched.select(*DAY_COLUMNS)
 
 
 def renamed(days: DataFrame, id_changes: DataFrame, touched: DataFrame) -> DataFrame:

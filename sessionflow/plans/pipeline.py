@@ -108,9 +108,14 @@ def process_batch(
             return changes.stats
         known = stored_days(spark, table_path, stored, cfg.user_actions)
         changes = _table_changes(stored, known, batch, cfg, written)
-        partitions = changes.rows.select(*PARTITIONS)
-        target = merged_rows(in_partitions(stored, partitions), changes.rows, flagged=True)
-        days = renamed(in_partitions(known, partitions), changes.id_changes, changes.touched)
+        # What the table has as it is needs no write, as after a batch that is applied again.
+        changed = changes.rows.where("changed")
+        partitions = written(changed.select(*PARTITIONS).distinct(), "partitions")
+        if partitions.isEmpty():
+            return changes.stats
+        touched = in_partitions(changes.touched, partitions)
+        target = merged_rows(in_partitions(stored, partitions), changed, flagged=True)
+        days = renamed(in_partitions(known, partitions), changes.id_changes, touched)
         commit_partitions(spark, target, table_path, days, cfg.user_actions)
         return changes.stats
 
@@ -118,15 +123,13 @@ def process_batch(
 def _changes(
     rows: DataFrame, id_changes: DataFrame | None, cfg: SessionConfig, written: Written
 ) -> Changes:
-    """The statistics are observed while the sessions of the rows are written."""
+    """Events are observed while the days of the rows are written, and sessions counted from these."""
     seen = Observation("batch")
     touched = written(
-        touched_sessions(rows, cfg).observe(
-            seen, F.sum("events").alias("events"), F.count("session_id").alias("sessions")
-        ),
-        "touched",
+        touched_sessions(rows, cfg).observe(seen, F.sum("events").alias("events")), "touched"
     )
-    stats = BatchStats(seen.get["events"] or 0, seen.get["sessions"])
+    sessions = touched.where("session_id is not null").select(*PAIR, "session_id").distinct()
+    stats = BatchStats(seen.get["events"] or 0, sessions.count())
     return Changes(rows, touched, id_changes, stats)
 
 
