@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from .subwords import Learner, Subwords
+from .subwords import Learner, Subwords, summed
 
 CONTEXT, SCORED = 8, 16
 WIDTH = CONTEXT + SCORED
@@ -62,84 +62,57 @@ class Attention:
         """Logits of the queries of ``inputs`` (windows, WIDTH); -1 marks places before a text.
         ``vectors`` are those of the inputs' ids."""
         p = self.parameters
-        rows = p["E"][inputs] + p["P"]
+        rows = p["E"].take(inputs, axis=0)
+        rows += p["P"]
         if vectors is not None:
             rows += vectors
-        keys, values = rows @ p["K"], rows @ p["V"]
-        x = rows[:, CONTEXT:]
-        queries = x @ p["Q"]
-        scores = queries @ keys.transpose(0, 2, 1)
-        scores *= np.float32(DIMENSION**-0.5)
-        scores += CAUSAL
-        hidden = inputs < 0
-        if hidden.any():
-            scores += np.where(hidden, np.float32(-1e9), np.float32(0))[:, None, :]
-        scores -= scores.max(axis=2, keepdims=True)
-        np.exp(scores, out=scores)
-        scores /= scores.sum(axis=2, keepdims=True)
-        h = x + scores @ values
-        flat = h.reshape(-1, DIMENSION)
-        inner = np.maximum(flat @ p["A"] + p["a"], 0)
-        g = flat + inner @ p["B"]
-        return g @ p["O"] + p["o"], {
-            "keys": keys, "values": values, "queries": queries, "weights": scores,
-            "flat": flat, "inner": inner, "g": g, "rows": rows,
+        x, all_rows = rows[:, CONTEXT:], rows.reshape(-1, DIMENSION)
+        scale = p["Q"].dtype.type(DIMENSION**-0.5)
+        turned = all_rows @ np.hstack([p["K"], p["V"], p["Q"] * scale])
+        keys, values, queries = _thirds(turned.reshape(*inputs.shape, -1))
+        queries = queries[:, CONTEXT:]
+        weights = queries @ keys.transpose(0, 2, 1)
+        weights += CAUSAL
+        first = np.flatnonzero(inputs[:, 0] < 0)  # only the first window of a text has hidden places
+        if len(first):
+            weights[first] += np.where(inputs[first] < 0, np.float32(-1e9), np.float32(0))[:, None, :]
+        own = np.diagonal(weights[:, :, CONTEXT:], axis1=1, axis2=2)
+        if weights.max(initial=0) > 60 or own.min(initial=0) < -60:  # else exp bears it
+            weights -= weights.max(axis=2, keepdims=True)
+        np.exp(weights, out=weights)
+        total = weights.reshape(-1, WIDTH) @ np.ones(WIDTH, weights.dtype)
+        mixed = (weights @ values).reshape(-1, DIMENSION)
+        mixed /= total[:, None]
+        flat = np.ones((DIMENSION + 1, len(mixed)), mixed.dtype)
+        np.add(x.reshape(-1, DIMENSION).T, mixed.T, out=flat[:-1])
+        inner = np.vstack([p["A"], p["a"]]).T @ flat
+        np.maximum(inner, 0, out=inner)
+        g = np.ones_like(flat)
+        np.add(p["B"].T @ inner, flat[:-1], out=g[:-1])
+        logits = np.vstack([p["O"], p["o"]]).T @ g
+        return logits.T, {
+            "keys": keys, "values": values, "queries": queries, "weights": weights, "total": total,
+            "mixed": mixed, "flat": flat, "inner": inner, "g": g, "rows": rows,
         }
 
-    def tables(self, e: np.ndarray) -> tuple[np.ndarray, ...]:
-        """What ``log_probability`` takes from inputs of vectors ``e``: they, keys, values, queries, and
-        a bound of the scores."""
-        p = self.parameters
-        scale = np.float32(DIMENSION**-0.5)
-        keys, queries = e @ p["K"], e @ p["Q"] * scale
-        greatest = 1.0
-        for table, at in ((keys, p["P"] @ p["K"]), (queries, p["P"][CONTEXT:] @ p["Q"] * scale)):
-            greatest *= np.linalg.norm(table, axis=1).max() + np.linalg.norm(at, axis=1).max()
-        return e, keys, e @ p["V"], queries, greatest
-
     def log_probability(
         self,
         inputs: np.ndarray,
         targets: np.ndarray,
-        tables: tuple[np.ndarray, ...] | None = None,
         subwords: Subwords | None = None,
+        numbers: np.ndarray | None = None,
         ids: np.ndarray | None = None,
     ) -> np.ndarray:
-        """Natural log P(target class) of every query, flat: ``forward`` with fewer passes. With
-        ``subwords``, that of the target ``ids``; inputs are rows of the ``tables``.
-
-        Weights are normalised after they are applied. Where no score can exceed what exp bears,
-        which the norms of queries and keys tell, the greatest score need not be taken off.
-        """
-        p = self.parameters
-        e, key_of, value_of, query_of, greatest = tables or self.tables(p["E"])
-        place = p["P"]
-        key_at, query_at = place @ p["K"], place[CONTEXT:] @ p["Q"] * np.float32(DIMENSION**-0.5)
-        own = inputs[:, CONTEXT:]
-        weights = (query_of[own] + query_at) @ (key_of[inputs] + key_at).transpose(0, 2, 1)
-        weights += CAUSAL
-        first = np.flatnonzero(inputs[:, 0] < 0)  # only the first window of a text has hidden places
-        if len(first):
-            weights[first] += np.where(inputs[first] < 0, np.float32(-1e9), np.float32(0))[:, None, :]
-        if greatest > 60:
-            weights -= weights.max(axis=2, keepdims=True)
-        np.exp(weights, out=weights)
-        mixed = weights @ (value_of[inputs] + place @ p["V"])
-        mixed /= weights.sum(axis=2, keepdims=True)
-        mixed += e[own]
-        mixed += place[CONTEXT:]
-        flat = mixed.reshape(-1, DIMENSION)
-        inner = flat @ p["A"]
-        inner += p["a"]
-        np.maximum(inner, 0, out=inner)
-        flat += inner @ p["B"]
-        logits = flat @ p["O"]
-        logits += p["o"]
-        logits -= logits.max(axis=1, keepdims=True)
-        chosen = logits[np.arange(len(logits)), targets.ravel()]
+        """Natural log P(target class) of every query, flat. With ``subwords``, that of the target ``ids``;
+        ``numbers`` are the input numbers."""
+        vectors = None if subwords is None else subwords.before.take(numbers, axis=0)
+        logits, t = self.forward(inputs, vectors)
+        logits = logits.T
+        logits -= logits.max(axis=0)
+        chosen = logits.take(_places(targets))
         np.exp(logits, out=logits)
-        chosen = chosen - np.log(logits.sum(axis=1))
-        return chosen if subwords is None else chosen + subwords.log_probability(flat, ids.ravel())
+        chosen = chosen - np.log(logits.sum(axis=0))
+        return chosen if subwords is None else chosen + subwords.log_probability(t["g"][:-1].T, ids.ravel())
 
     def gradients(
         self,
@@ -153,49 +126,67 @@ class Attention:
         """Gradients of the mean negative log probability of the targets in ``use``.
 
         With ``subwords``, of that of the target ``ids``; ``numbers`` are the input numbers. Then ``before`` are
-        the gradients by the inputs' vectors, and ``nodes`` and ``tree`` those by rows of the trees.
+        the gradients by the inputs' vectors, ``summed`` their sums by input number, and ``nodes`` and ``tree``
+        those by rows of the trees.
         """
         p = self.parameters
-        logits, t = self.forward(inputs, None if subwords is None else subwords.before[numbers])
-        logits -= logits.max(axis=1, keepdims=True)
-        dlogits = np.exp(logits, out=logits)
-        dlogits /= dlogits.sum(axis=1, keepdims=True)
-        dlogits[np.arange(len(dlogits)), targets.ravel()] -= 1
-        each = 1 / max(1, int(use.sum()))
-        dlogits *= (use.ravel() * each)[:, None].astype(np.float32)
-        found = {"O": t["g"].T @ dlogits, "o": dlogits.sum(axis=0)}
-        dg = dlogits @ p["O"].T
+        logits, t = self.forward(inputs, None if subwords is None else subwords.before.take(numbers, axis=0))
+        dtype, use = logits.dtype.type, use.ravel()
+        dlogits = logits.T
+        dlogits -= dlogits.max(axis=0)
+        np.exp(dlogits, out=dlogits)
+        each = dtype(1 / max(1, int(use.sum())))
+        each_used = use * each
+        dlogits *= each_used / dlogits.sum(axis=0)
+        np.subtract.at(dlogits.reshape(-1), _places(targets), each_used)
+        by_output = (dlogits @ t["g"].T).T
+        found = {"O": by_output[:-1], "o": by_output[-1]}
+        dg = (dlogits.T @ p["O"].T).T
         if subwords is not None:
-            real = np.flatnonzero(use.ravel())
-            by_g, found["nodes"], by_tree = subwords.gradients(t["g"][real], ids.ravel()[real])
-            dg[real] += by_g * dg.dtype.type(each)
-            found["tree"] = by_tree * dg.dtype.type(each)
-        found["B"] = t["inner"].T @ dg
-        dinner = (dg @ p["B"].T) * (t["inner"] > 0)
-        found["A"], found["a"] = t["flat"].T @ dinner, dinner.sum(axis=0)
-        dh = (dg + dinner @ p["A"].T).reshape(len(inputs), SCORED, DIMENSION)
+            by_g, found["nodes"], by_tree = subwords.gradients(t["g"][:-1], ids.ravel(), use)
+            dg += by_g * each
+            by_tree *= each
+            found["tree"] = by_tree
+        found["B"] = t["inner"] @ dg.T
+        dinner = p["B"] @ dg
+        dinner *= t["inner"] > 0
+        by_inner = t["flat"] @ dinner.T
+        found["A"], found["a"] = by_inner[:-1], by_inner[-1]
+        dg += p["A"] @ dinner
+        dh_rows = np.ascontiguousarray(dg.T)
+        dh = dh_rows.reshape(len(inputs), SCORED, DIMENSION)
         weights = t["weights"]
-        dvalues = weights.transpose(0, 2, 1) @ dh
-        dweights = dh @ t["values"].transpose(0, 2, 1)
-        dweights -= (dweights * weights).sum(axis=2, keepdims=True)
-        dscores = np.multiply(dweights, weights, out=dweights)
-        dscores *= np.float32(DIMENSION**-0.5)
-        dqueries = dscores @ t["keys"]
-        dkeys = dscores.transpose(0, 2, 1) @ t["queries"]
-        x = t["rows"]
-        for name, dx, rows in (("K", dkeys, x), ("V", dvalues, x), ("Q", dqueries, x[:, CONTEXT:])):
-            found[name] = rows.reshape(-1, DIMENSION).T @ dx.reshape(-1, DIMENSION)
-        dx = dkeys @ p["K"].T + dvalues @ p["V"].T
-        dx[:, CONTEXT:] += dqueries @ p["Q"].T + dh
+        weights /= t["total"].reshape(len(inputs), SCORED, 1)
+        by_turned = np.zeros((*inputs.shape, 3 * DIMENSION), dh.dtype)
+        dkeys, dvalues, dqueries = _thirds(by_turned)
+        np.matmul(weights.transpose(0, 2, 1), dh, out=dvalues)
+        dscores = dh @ t["values"].transpose(0, 2, 1)
+        # what the softmax takes off is the mean of a query's row by its weights
+        mean = (dh_rows * t["mixed"]) @ np.ones(DIMENSION, dtype)
+        dscores -= mean.reshape(len(inputs), SCORED, 1)
+        dscores *= weights
+        np.matmul(dscores, t["keys"], out=dqueries[:, CONTEXT:])
+        np.matmul(dscores.transpose(0, 2, 1), t["queries"], out=dkeys)
+        by_turned = by_turned.reshape(-1, 3 * DIMENSION)
+        rows, scale = t["rows"].reshape(-1, DIMENSION), dtype(DIMENSION**-0.5)
+        found["K"], found["V"], found["Q"] = _thirds(rows.T @ by_turned)
+        found["Q"] = found["Q"] * scale
+        by_input = by_turned @ np.hstack([p["K"], p["V"], p["Q"] * scale]).T
+        dx = by_input.reshape(t["rows"].shape)
+        dx[:, CONTEXT:] += dh
         found["P"] = dx.sum(axis=0)
-        by_input = dx.reshape(-1, DIMENSION)
-        size = len(p["E"])
-        row = inputs.ravel() + np.where(inputs.ravel() < 0, size, 0)
-        found["E"] = np.stack(
-            [np.bincount(row, weights=column, minlength=size) for column in by_input.T], axis=1
-        ).astype(dx.dtype)
+        row, values = inputs.ravel(), by_input
         if subwords is not None:
             found["before"] = by_input
+            number, values, n = found["summed"] = summed(numbers.ravel(), by_input)
+            class_of = np.zeros(len(subwords.before), row.dtype)
+            class_of[numbers.ravel()] = row
+            row = class_of.take(number)
+        size = len(p["E"])
+        row = np.where(row < 0, size - 1, row)
+        found["E"] = np.stack(
+            [np.bincount(row, weights=column, minlength=size) for column in values.T], axis=1
+        ).astype(dtype)
         return found
 
     def copy(self) -> Attention:
@@ -207,9 +198,13 @@ class Attention:
 
     def from_flat(self, values: np.ndarray) -> Attention:
         """A model of the same shapes with these parameters."""
+        return Attention(self.views(values.astype(np.float32)))
+
+    def views(self, values: np.ndarray) -> dict[str, np.ndarray]:
+        """Parts of ``values`` by the names of the parameters."""
         ends = np.cumsum([self.parameters[n].size for n in NAMES])
-        parts = zip(NAMES, np.split(values.astype(np.float32), ends[:-1]))
-        return Attention({n: x.reshape(self.parameters[n].shape) for n, x in parts})
+        parts = zip(NAMES, np.split(values, ends[:-1]))
+        return {n: x.reshape(self.parameters[n].shape) for n, x in parts}
 
     def train(
         self,
@@ -223,31 +218,41 @@ class Attention:
     ) -> tuple[Learner, Learner] | None:
         """Adam on batches of windows, a row of ``batches`` each; targets below 0 are no tokens. The rows
         of ``subwords`` are trained with it, and their learners returned."""
-        first = {n: np.zeros_like(v) for n, v in self.parameters.items()}
-        second = {n: np.zeros_like(v) for n, v in self.parameters.items()}
+        flat = self.flat()
+        self.parameters = self.views(flat)
+        first, second = np.zeros_like(flat), np.zeros_like(flat)
         learners = None if subwords is None else (Learner(subwords.before), Learner(subwords.tree))
         for step, (rows, rate) in enumerate(zip(batches, rates.tolist()), 1):
-            use = targets[rows] >= 0
-            more = () if subwords is None else (subwords, numbers[rows], ids[rows])
-            grads = self.gradients(inputs[rows], np.maximum(targets[rows], 0), use, *more)
+            own = targets.take(rows, axis=0)
+            use = own >= 0
+            more = ()
+            if subwords is not None:
+                more = (subwords, numbers.take(rows, axis=0), ids.take(rows, axis=0))
+            grads = self.gradients(inputs.take(rows, axis=0), np.maximum(own, 0), use, *more)
             if learners is not None:
                 n = np.float32(use.sum())
-                own = numbers[rows].ravel()
-                for learner, at, by in (
-                    (learners[0], own, grads.pop("before")),
-                    (learners[1], grads.pop("nodes"), grads.pop("tree")),
+                for learner, (at, by, met) in (
+                    (learners[0], grads["summed"]),
+                    (learners[1], summed(grads["nodes"], grads["tree"])),
                 ):
-                    learner.step(at, by * n, ROW_RATE * rate)
-            for n, grad in grads.items():
-                first[n] = 0.9 * first[n] + 0.1 * grad
-                second[n] = 0.99 * second[n] + 0.01 * grad * grad
-                step_by = first[n] / (1 - 0.9**step)
-                self.parameters[n] -= (
-                    rate * step_by / (np.sqrt(second[n] / (1 - 0.99**step)) + 1e-8)
-                ).astype(np.float32)
+                    learner.step(at, by * n, met, ROW_RATE * rate)
+            grad = np.concatenate([grads[n].ravel() for n in NAMES])
+            first = 0.9 * first + 0.1 * grad
+            second = 0.99 * second + 0.01 * grad * grad
+            step_by = first / (1 - 0.9**step)
+            flat -= (rate * step_by / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
         return learners
 
 
+def _thirds(rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    return tuple(rows[..., at : at + DIMENSION] for at in range(0, 3 * DIMENSION, DIMENSION))
+
+
+def _places(targets: np.ndarray) -> np.ndarray:
+    """Where the class of each query is among logits that are given by classes."""
+    return targets.ravel().astype(np.int64) * targets.size + np.arange(targets.size)
+
+
 def window_count(first: np.ndarray) -> int:
     return int((-(-np.diff(first) // SCORED)).sum())
 
@@ -264,14 +269,18 @@ def windows_of(
     count = -(-size // SCORED)
     before = np.cumsum(count) - count
     chosen = np.arange(count.sum()) if chosen is None else chosen
-    text = np.searchsorted(before, chosen, "right") - 1
-    number = chosen - before[text]
-    place = (number * SCORED)[:, None] + np.arange(-CONTEXT, SCORED)  # of the target
-    last = (size[text] - 1)[:, None]
-    source = first[text][:, None] + np.minimum(place, last) - 1
-    inputs = np.where(place > 0, classes[np.maximum(source, 0)], np.where(place == 0, 0, -1))
-    own = place[:, CONTEXT:]
-    targets = np.where(own <= last, first[text][:, None] + own, -1)
+    text = np.repeat(np.arange(len(size)), count).take(chosen)
+    number = chosen - before.take(text)
+    begin = first.take(text) + number * SCORED
+    heads, tails = np.flatnonzero(number == 0), np.flatnonzero(number == count.take(text) - 1)
+    last = first[1:].take(text[tails])[:, None] - 1
+    targets = begin[:, None] + np.arange(SCORED)
+    source = begin[:, None] + np.arange(-CONTEXT - 1, SCORED - 1)
+    source[tails] = np.minimum(source[tails], last - 1)
+    targets[tails] = np.where(targets[tails] <= last, targets[tails], -1)
+    inputs = classes.take(source, mode="clip")
+    inputs[heads, :CONTEXT] = -1
+    inputs[heads, CONTEXT] = 0
     return inputs, targets
 
 
@@ -286,10 +295,9 @@ def scores(
     count = -(-size // SCORED)
     begin = 0
     upto = np.cumsum(count)
-    tables, read = None, classes
+    read = classes
     if subwords is not None:
-        read = classes + 1
-        tables = model.tables(model.parameters["E"][input_classes(of)] + subwords.before)
+        read, class_of = classes + 1, input_classes(of)
     while begin < len(size):
         end = max(
             begin + 1,
@@ -299,11 +307,11 @@ def scores(
         for at in range(0, len(inputs), WINDOWS_AT_ONCE):
             some = targets[at : at + WINDOWS_AT_ONCE]
             real = some.ravel() >= 0
-            own = classes[np.maximum(some, 0)]
-            more = () if subwords is None else (tables, subwords, own)
-            values = model.log_probability(
-                inputs[at : at + WINDOWS_AT_ONCE], own if subwords is None else of[own], *more
-            )
+            own, numbers, more = classes.take(np.maximum(some, 0)), inputs[at : at + WINDOWS_AT_ONCE], ()
+            if subwords is not None:
+                more = (subwords, numbers, own)
+                numbers, own = class_of.take(numbers), of.take(own)
+            values = model.log_probability(numbers, own, *more)
             found[some.ravel()[real]] = values[real]
         begin = end
     return found

@@ -74,7 +74,10 @@ def packed_ids(ids: np.ndarray) -> bytes:
 def unpacked_ids(blob: bytes, kind: type) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel()
+    ids = np.empty((len(planes) // size, size), np.uint8)
+    for k, plane in enumerate(planes.reshape(size, -1)):
+        ids[:, k] = plane
+    return ids.view(kind).ravel()
 
 
 def chunk_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -99,18 +102,18 @@ def chunk_row(bpe: ByteBpe, n_buckets: int, number: int, chunk: pa.RecordBatch)
     which = place[which]
     learned = np.repeat(~chunk["held_out"].to_numpy(zero_copy_only=False), np.diff(first))
     counts = np.bincount(which[learned], minlength=len(words)).astype(np.int64)
-    ids = [bpe.encode(t.as_py() or "").astype(id_kind(bpe)) for t in chunk["text"]]
+    ids, n_ids = bpe.encode_all(chunk["text"])
     return {
         "chunk": number,
         "doc_ids": chunk["doc_id"].to_pylist(),
         "held": chunk["held_out"].to_pylist(),
         "n_words": np.diff(first),
-        "n_ids": [len(x) for x in ids],
+        "n_ids": n_ids,
         "different": np.bincount(bucket, minlength=n_buckets),
         "words": pack([words[order]]),
         "counts": pack([counts]),
         "which": pack([which.astype(np.int64)]),
-        "ids": packed_ids(np.concatenate([np.empty(0, id_kind(bpe)), *ids])),
+        "ids": packed_ids(ids.astype(id_kind(bpe))),
     }
 
 

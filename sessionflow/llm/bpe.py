@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
@@ -32,9 +33,17 @@ from pyspark.sql import functions as F
 LEAF = 1 << 14
 PIECE_LEAF = 256
 ROWS_AT_ONCE = 256
+#: Text whose units are looked up at once.
+UNITS_BYTES = 2 << 20
 ENCODED = "doc_id long, n_tokens long, ids binary"
 #: Characters of the property White_Space, which \\s of the split pattern means. Fixed values.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Kinds of bytes: ASCII white space, those that no character of WHITE ends with, the others.
+BLANK, SOLID, EITHER = 2, 1, 0
+_ENDS_OF_WHITE = {*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF}
+KIND = bytes(
+    BLANK if k in b"\t\n\v\f\r " else EITHER if k in _ENDS_OF_WHITE else SOLID for k in range(256)
+)
 LAST_CUT = regex.compile(r"(?r)(?<=[\p{L}\p{N}.,;:!?])(?=[ \n])")
 FIRST_CUT = regex.compile(r"(?<=[\p{L}\p{N}.,;:!?])(?=[ \n])")
 
@@ -65,6 +74,65 @@ class ByteBpe:
     def encode(self, text: str) -> np.ndarray:
         return self._encode(text, 0, len(text))
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of all texts, one after the other, and how many ids each has. NULL is the empty text.
+
+        Texts are cut before white space that follows something else, where the split pattern has a boundary
+        and no look-ahead crosses. Units between cuts that are there again within some megabytes are
+        encoded once.
+        """
+        upto = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        found, at = [(np.empty(0, np.uint32), np.empty(0, np.int64))], 0
+        while at < len(texts):
+            so_far = upto[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(upto, so_far + UNITS_BYTES, "right")))
+            found.append(self._encode_some(texts[at:to]))
+            at = to
+        ids, sizes = zip(*found)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _encode_some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        kind = np.frombuffer(data.tobytes().translate(KIND), np.uint8)
+        cut = np.zeros(len(data) + 1, bool)
+        np.equal(kind[1:] * 2 + kind[:-1], 2 * BLANK + SOLID, out=cut[1 : len(data)])
+        cut[offsets] = True  # of empty texts, too
+        begin = np.flatnonzero(cut)
+        count = np.diff(np.searchsorted(begin, offsets))
+        buffers = [None, pa.py_buffer(begin.astype(np.int64)), pa.py_buffer(data)]
+        units = pa.Array.from_buffers(pa.large_binary(), len(begin) - 1, buffers).dictionary_encode()
+        which, units = units.indices.to_numpy(), units.dictionary
+        ids, length = self._encode_units(units)
+        first = (np.cumsum(length) - length).astype(np.int32)
+        sizes = length.take(which)
+        upto = np.cumsum(sizes)
+        at = np.repeat(first.take(which) - (upto - sizes).astype(np.int32), sizes)
+        at += np.arange(len(at), dtype=np.int32)
+        upto = np.concatenate([[0], upto]).take(np.concatenate([[0], np.cumsum(count)]))
+        return ids.take(at), np.diff(upto)
+
+    def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units, one after the other, and how many each has. Those that begin with white space
+        and end with something else are encoded as one text, the others on their own."""
+        offsets = np.frombuffer(units.buffers()[1], np.int64)[: len(units) + 1]
+        data = np.frombuffer(units.buffers()[2] or b"", np.uint8)[: offsets[-1]]
+        kind = np.frombuffer(data.tobytes().translate(KIND), np.uint8)
+        size = np.diff(offsets)
+        plain = (kind.take(offsets[:-1]) == BLANK) & (kind.take(offsets[1:] - 1) == SOLID)
+        length = np.zeros(len(units), np.int64)
+        own = [self.encode(u.decode()) for u in units.filter(pa.array(~plain)).to_pylist()]
+        length[~plain] = [len(x) for x in own]
+        ids = self.encode(data[np.repeat(plain, size)].tobytes().decode())
+        ends = np.cumsum(size[plain])
+        length[plain] = np.diff(np.searchsorted(np.cumsum(self.lengths.take(ids)), ends), prepend=-1)
+        found = np.empty(int(length.sum()), np.uint32)
+        joined = np.repeat(plain, length)
+        found[joined], found[~joined] = ids, np.concatenate([ids[:0], *own])
+        return found, length
+
     def _encode(self, text: str, start: int, end: int) -> np.ndarray:
         if end - start <= self.leaf:
             return self._leaf(text[start:end])

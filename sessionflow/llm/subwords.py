@@ -41,7 +41,7 @@ def _paths(of: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
     return first, nodes[turns != 0], turns[turns != 0].astype(np.float32), np.array(odds)
 
 
-def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different ``rows``, the sums of their ``values``, and how often each is there."""
     order = np.argsort(rows, kind="stable")
     ordered = rows[order]
@@ -50,7 +50,7 @@ def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return begin, values[:0], begin
     return (
         ordered[begin].astype(np.int64),
-        np.add.reduceat(values[order], begin, axis=0),
+        np.add.reduceat(values.take(order, axis=0), begin, axis=0),
         np.diff(np.append(begin, len(rows))),
     )
 
@@ -62,10 +62,10 @@ class Learner:
         self.table, self.squares = table, np.ones_like(table)
         self.visits = np.zeros(len(table), np.int64)
 
-    def step(self, rows: np.ndarray, gradients: np.ndarray, rate: float) -> None:
-        use, total, n = _summed(rows, gradients)
+    def step(self, use: np.ndarray, total: np.ndarray, n: np.ndarray, rate: float) -> None:
+        """``total``: summed gradients of the rows ``use``, met ``n`` times each."""
         self.visits[use] += n
-        squares = self.squares[use] + total * total
+        squares = self.squares.take(use, axis=0) + total * total
         self.squares[use] = squares
         self.table[use] -= np.float32(rate) * total / np.sqrt(squares)
 
@@ -80,6 +80,10 @@ class Subwords:
     nodes: np.ndarray
     turns: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.length = np.diff(self.first)
+        self.length = self.length.astype(np.min_scalar_type(self.length.max(initial=0)))
+
     @staticmethod
     def of_counts(of: np.ndarray, weight: np.ndarray, dimension: int) -> Subwords:
         """Trees of the classes ``of`` all ids by their weights; vectors begin as zeros."""
@@ -103,37 +107,53 @@ class Subwords:
             self.first, self.nodes, self.turns,
         )
 
-    def turned(self, g: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Every turn of every id: whose it is, its node, the turn, the log odds of taking it, the rows of
-        ``g`` and the tree there; and how many turns each id has."""
-        length = self.first[ids + 1] - self.first[ids]
-        whose = np.repeat(np.arange(len(ids)), length)
-        at = np.arange(len(whose)) + np.repeat(self.first[ids] - np.cumsum(length) + length, length)
-        nodes, turns = self.nodes[at], self.turns[at]
-        rows = self.tree[nodes]
-        seen = g[whose]
-        z = np.einsum("ij,ij->i", seen, rows[:, :-1])
-        z += rows[:, -1]
+    def turned(self, g: np.ndarray, ids: np.ndarray, use: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """Every turn of every id in ``use``: ids with more turns come first in ``order``, and turn d of the
+        ``counts[d]`` ids that have it follows turn d - 1. (order, counts, its node, the turn, the log odds
+        of taking it, columns of ``g``, a last row of ones below, and of the tree there)."""
+        length = self.length.take(ids)
+        if use is not None:
+            length *= use
+        order = np.argsort(np.iinfo(length.dtype).max - length, kind="stable")
+        counts = len(ids) - np.cumsum(np.bincount(length))[:-1]
+        begin = self.first.take(ids.take(order[: counts[0]] if len(counts) else order[:0]))
+        at = np.concatenate([begin[:0], *(begin[:n] + d for d, n in enumerate(counts))])
+        own = np.ones((g.shape[0] + 1, len(begin)), g.dtype)
+        own[:-1] = np.ascontiguousarray(g.T).take(order[: len(begin)], axis=0).T
+        seen = np.concatenate([own[:, :0], *(own[:, :n] for n in counts)], axis=1)
+        nodes, turns = self.nodes.take(at), self.turns.take(at)
+        rows = np.ascontiguousarray(self.tree.take(nodes, axis=0).T)
+        z = (seen * rows).sum(axis=0)
         z *= turns
-        return whose, nodes, turns, z, seen, rows, length
+        return order, counts, nodes, turns, z, seen, rows
 
     def log_probability(self, g: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log P(id | class, context) of each row of ``g``."""
-        whose, _, _, z, *_ = self.turned(g, ids)
-        value = np.minimum(z, 0) - np.log1p(np.exp(-np.abs(z)))
-        return np.bincount(whose, weights=value, minlength=len(ids))
-
-    def gradients(self, g: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+        order, counts, _, _, z, *_ = self.turned(g.T, ids)
+        value = np.minimum(z, 0) - np.log(1 + np.exp(-np.abs(z)))
+        found = np.empty(len(ids))
+        found[order] = _by_turns(value, counts, len(ids))
+        return found
+
+    def gradients(
+        self, g: np.ndarray, ids: np.ndarray, use: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(by g, nodes, by the rows of the tree at these nodes): of the summed negative
-        ``log_probability``."""
-        _, nodes, turns, z, seen, rows, length = self.turned(g, ids)
+        ``log_probability`` of the ids in ``use``, by columns of ``g``."""
+        order, counts, nodes, turns, z, seen, rows = self.turned(g, ids, use)
         by_z = -turns / (1 + np.exp(np.minimum(z, 80)))
-        by_g = np.zeros_like(g)
-        some = np.flatnonzero(length)
-        if len(some):
-            begin = (np.cumsum(length) - length)[some]
-            by_g[some] = np.add.reduceat(rows[:, :-1] * by_z[:, None], begin, axis=0)
-        by_tree = rows  # a copy, and no longer needed
-        np.multiply(seen, by_z[:, None], out=by_tree[:, :-1])
-        by_tree[:, -1] = by_z
-        return by_g, nodes, by_tree
+        rows *= by_z
+        seen *= by_z
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        by_g = np.ascontiguousarray(_by_turns(rows[:-1], counts, len(ids)).T)
+        return by_g.take(place, axis=0).T, nodes, np.ascontiguousarray(seen.T)
+
+
+def _by_turns(values: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """Sums over the turns of each id, in the order of ``Subwords.turned``."""
+    total, at = np.zeros((*values.shape[:-1], size), values.dtype), 0
+    for n in counts.tolist():
+        total[..., :n] += values[..., at : at + n]
+        at += n
+    return total

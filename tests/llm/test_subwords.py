@@ -2,10 +2,12 @@
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import documents
 
 from sessionflow.llm import attention, attention_lm
+from sessionflow.llm.bpe import byte_bpe
 from sessionflow.llm.queries import BYTE_RANKS
 from sessionflow.llm.subwords import Subwords
 
@@ -110,3 +112,40 @@ def test_context_tells_ids_of_one_class_apart(spark, monkeypatch):
     rows = attention_lm.lm_scores(documents(spark, docs), path, pattern).collect()
     score = {r.doc_id: r.score for r in rows}
     assert score[10_001] > score[10_002] + 1
+
+
+def test_units_of_texts_are_encoded_once_and_as_whole_texts():
+    bpe = byte_bpe(public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+    rng = np.random.default_rng(2)
+    parts = [
+        "a", "Bc", "'s", "'", " ", "  ", "\n", "\r\n", "\t", "\x85", "\xa0", " ", " ", "　", "\x1c",
+        "é", "ж", "中文", "12", "٢", ".", "!?", "€", "\U0001f600", "​", "the", "А", "\0",
+    ]
+    texts = [None, "", " ", *("".join(rng.choice(parts, rng.integers(0, 25))) for _ in range(3000))]
+    texts += [" ".join(rng.choice(["ab", "cd\n", "x" * 40_000], 60)), " " * 40_000, ""]
+    for kind in (pa.string(), pa.large_string()):
+        for own in (pa.array(texts, kind), pa.array(["x ", *texts], kind)[1:], pa.array([], kind)):
+            ids, sizes = bpe.encode_all(own)
+            expected = [bpe.encode(t or "") for t in own.to_pylist()]
+            assert sizes.tolist() == [len(x) for x in expected]
+            assert np.array_equal(ids, np.concatenate([ids[:0], *expected]))
+
+
+def test_repeated_units_are_not_encoded_again(monkeypatch):
+    bpe = byte_bpe(public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+    seen, leaf = [], bpe._leaf
+    monkeypatch.setattr(bpe, "_leaf", lambda text: seen.append(len(text)) or leaf(text))
+    ids, sizes = bpe.encode_all(pa.array(["one two three four " * 500] * 50))
+    assert sum(seen) < 1_000
+    assert sizes.tolist() == [len(bpe.encode("one two three four " * 500))] * 50
+
+
+def test_scores_bear_weights_that_exp_does_not():
+    of, weight, subwords, rng = small()
+    model = attention.Attention.random(5, 1)
+    ids, first = rng.integers(0, len(of), 90), np.array([0, 3, 90])
+    for q in (300.0, -300.0):
+        model.parameters["Q"] = np.eye(attention.DIMENSION, dtype=np.float32) * q
+        model.parameters["K"] = np.eye(attention.DIMENSION, dtype=np.float32)
+        found = attention.scores(model, ids, first, subwords, of)
+        assert np.isfinite(found).all() and (found < 0).all()
