@@ -53,14 +53,18 @@ class Rules:
     stratum: str = "lang"
 
 
-#: Each rule's ratio of the measures, all between 0 and 1.
+#: Each rule's ratio of the measures, all between 0 and 1; NULL where nothing is counted. The division
+#: must bear a zero, also for rows that the base rules reject: Spark computes a ratio that stands in
+#: a condition twice ahead of it, for every row.
 RATIOS = {
-    "symbols": lambda m: m["n_symbols"] / (m["n_symbols"] + m["n_words"]),
-    "lines": lambda m: m["n_dup_lines"] / (m["n_dup_lines"] + m["n_single_lines"]),
-    "repeats": lambda m: m["n_repeat_words"] / m["n_words"],
-    "capitals": lambda m: m["n_capitals"] / m["word_chars"],
-    "exclamations": lambda m: m["n_exclamations"] / (m["n_exclamations"] + m["n_words"]),
-    "stutters": lambda m: m["n_stutters"] / m["n_words"],
+    "symbols": lambda m: F.try_divide(m["n_symbols"], m["n_symbols"] + m["n_words"]),
+    "lines": lambda m: F.try_divide(m["n_dup_lines"], m["n_dup_lines"] + m["n_single_lines"]),
+    "repeats": lambda m: F.try_divide(m["n_repeat_words"], m["n_words"]),
+    "capitals": lambda m: F.try_divide(m["n_capitals"], m["word_chars"]),
+    "exclamations": lambda m: F.try_divide(
+        m["n_exclamations"], m["n_exclamations"] + m["n_words"]
+    ),
+    "stutters": lambda m: F.try_divide(m["n_stutters"], m["n_words"]),
 }
 
 
@@ -251,30 +255,25 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, rules: Rules) -> D
 
 
 def with_verdict(measured: DataFrame, cutoffs: DataFrame, rules: Rules) -> DataFrame:
-    """``measured`` with base_failed and kept. Up to MAX_LITERAL_STRATA cutoffs become literals of
-    the plan; a longer list is joined by stratum, with the same result."""
-    per_stratum = cutoffs.groupBy("stratum").agg(
+    """``measured`` with base_failed and kept. The cutoffs of up to MAX_LITERAL_STRATA strata are literal
+    rows of the plan and broadcast, so nothing is shuffled; a longer list is left to Spark's estimates.
+    The condition has one term for each rule, however many strata there are."""
+    per_stratum = cutoffs.groupBy(F.col("stratum").alias("its_stratum")).agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts")
     )
     few = per_stratum.limit(MAX_LITERAL_STRATA + 1).collect()
-    m = F.col("m")
     if len(few) <= MAX_LITERAL_STRATA:
-        exceeds = F.lit(False)
-        for row in few:
-            here = F.col("stratum").eqNullSafe(F.lit(row["stratum"]))
-            for rule, cutoff in sorted(row["cuts"].items()):
-                exceeds = exceeds | (here & (step(m, rule) >= cutoff))
-        rows = measured
-    else:
-        rows = measured.join(
-            per_stratum.withColumnRenamed("stratum", "its_stratum"),
-            F.col("stratum").eqNullSafe(F.col("its_stratum")),
-            "left",
-        ).drop("its_stratum")
-        exceeds = F.lit(False)
-        for rule in RATIOS:
-            cutoff = F.try_element_at(F.col("cuts"), F.lit(rule))
-            exceeds = exceeds | F.coalesce(step(m, rule) >= cutoff, F.lit(False))
+        per_stratum = F.broadcast(
+            measured.sparkSession.createDataFrame(few, per_stratum.schema)
+        )
+    rows = measured.join(
+        per_stratum, F.col("stratum").eqNullSafe(F.col("its_stratum")), "left"
+    ).drop("its_stratum")
+    m = F.col("m")
+    exceeds = F.lit(False)
+    for rule in RATIOS:
+        cutoff = F.try_element_at(F.col("cuts"), F.lit(rule))
+        exceeds = exceeds | F.coalesce(step(m, rule) >= cutoff, F.lit(False))
     failed = base_failed(m, rules)
     return rows.withColumns({"base_failed": failed, "kept": ~failed & ~exceeds}).drop("cuts")
 

@@ -107,6 +107,39 @@ def test_many_strata_are_joined_with_the_same_result(spark, monkeypatch):
     assert sorted(map(str, quality_rules.with_verdict(held, cutoffs, rules).collect())) == few
 
 
+def test_documents_without_words_when_strata_share_a_rule(spark, tmp_path):
+    clean = " ".join(f"word{i}" for i in range(40))
+    noisy = {lang: " ".join(f"word{i}{'$' * n}" for i in range(40)) for lang, n in (("en", 2), ("de", 3))}
+    rows = [(text, lang) for lang in noisy for text in [clean] * 1200 + [noisy[lang]] * 30]
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    labels = [(i, int(text == clean)) for i, text, _ in rows]
+    odd = [(text, lang) for text in (None, "", " \t\n ", clean, noisy["de"]) for lang in ("en", "de", "fr", None)]
+    rows += [(9000 + i, *r) for i, r in enumerate(odd)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = {r.doc_id: r.kept for r in op4_quality_rules(spark, str(tmp_path)).collect()}
+    words = {clean, *noisy.values()}
+    assert found == {i: text == clean or (text in words and lang not in noisy) for i, text, lang in rows}
+
+
+@pytest.mark.parametrize("n_strata", [1, 200])
+def test_cutoffs_of_every_stratum_apply(spark, monkeypatch, n_strata):
+    clean = " ".join(f"word{i}" for i in range(40))
+    noisy = " ".join(f"word{i}$$" for i in range(40))
+    names = [f"s{i}" for i in range(n_strata)] + [None]
+    rows = [(i, text, name) for i, (text, name) in enumerate((t, s) for t in (clean, noisy, None) for s in [*names, "other"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    cuts = [(name, rule, 26 + k % 2) for k, name in enumerate(names) for rule in quality_rules.RATIOS]
+    cutoffs = spark.createDataFrame(cuts, "stratum string, rule string, cutoff int")
+    # the noisy documents reach step 26, so they stay where the cutoff is 27
+    mild = {"other"} | {name for k, name in enumerate(names) if k % 2}
+    expected = {i for i, text, name in rows if text == clean or (text == noisy and name in mild)}
+    for most in (quality_rules.MAX_LITERAL_STRATA, 0):
+        monkeypatch.setattr(quality_rules, "MAX_LITERAL_STRATA", most)
+        kept = quality_rules.kept_documents(docs, cutoffs, quality_rules.Rules())
+        assert {r.doc_id for r in kept.collect()} == expected
+
+
 def test_rules_on_empty_tables_and_clashing_names(spark):
     rules = quality_rules.Rules()
     labels = spark.createDataFrame([], "doc_id long, quality int")
